@@ -77,7 +77,8 @@ def mentions(text: Column, feature: str) -> Column:
 
 def compound_name(lowered: Column, names: list[str] = vocab.COMPOUNDS) -> Column:
     """First listed name contained in text that is already in lower case."""
-    return F.coalesce(*[F.when(F.contains(lowered, F.lit(n.lower())), F.lit(n)) for n in names])
+    listed = F.array(*[F.struct(F.lit(n.lower()).alias("low"), F.lit(n).alias("name")) for n in names])
+    return F.get(F.filter(listed, lambda n: F.contains(lowered, n["low"])), F.lit(0))["name"]
 
 
 def all_features(text: Column, lowered: Column) -> dict[str, Column]:

@@ -18,9 +18,26 @@ def halved_zero(value: Column) -> Column:
     return F.when(value == 0, F.lit(0.5)).otherwise(value.cast("double"))
 
 
-def price_per_sqm(price: Column, area: Column, digits: int = 2) -> Column:
-    """Null when price or area is missing or zero; rounds halves to even."""
-    return F.when((price != 0) & (area > 0), F.bround(price / area, digits))
+def round_cents(x: Column) -> Column:
+    """Two decimals from the exact binary value, halves to even.
+
+    ``bround`` looks at the shortest decimal text, so 2.675 (which is stored slightly
+    below) would go up. Here ``x * 100`` is split into its rounded product and the
+    exact error, and the error decides what looks like a half.
+    """
+    product = x * 100
+    wide = x * 134217729.0
+    top = wide - (wide - x)
+    error = (top * 100 - product) + (x - top) * 100
+    down = F.floor(product).cast("double")
+    rest = product - down
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (down % 2 != 0))))
+    return F.when(up, down + 1).otherwise(down) / 100
+
+
+def price_per_sqm(price: Column, area: Column) -> Column:
+    """Rounded to two decimals; null when price or area is missing or zero."""
+    return F.when((price != 0) & (area > 0), round_cents(price / area))
 
 
 def ratios(area: str = "area_sqm") -> dict[str, Column]:

@@ -13,12 +13,13 @@ from pyspark.sql.types import BooleanType, DataType, NumericType, StringType
 
 
 def is_missing(value: Column, dtype: DataType) -> Column:
+    """Reads ``value`` once, so an expensive column is not computed again by a pushed-down filter."""
     if isinstance(dtype, StringType):
-        return value.isNull() | (value == "")
+        return F.coalesce(value, F.lit("")) == ""
     if isinstance(dtype, NumericType):
-        return value.isNull() | (value == 0)
+        return F.coalesce(value, F.lit(0).cast(dtype)) == 0
     if isinstance(dtype, BooleanType):
-        return value.isNull() | ~value
+        return ~F.coalesce(value, F.lit(False))
     return value.isNull()
 
 

@@ -118,8 +118,8 @@ def parse_ids(ids: str) -> list[int]:
 
 def ids_from_table(requests: DataFrame, column: str = "ids") -> DataFrame:
     """The same reading for a table of request texts; a bad number fails the job."""
-    parts = F.explode(F.split(column, ","))
-    return requests.select(F.trim(parts).alias("id")).where("id != ''").select(F.col("id").cast("long"))
+    parts = requests.select(F.explode(F.split(column, ",")).alias("part")).select(F.trim("part").alias("part"))
+    return parts.where("part != ''").select(F.col("part").cast("long").alias("id"))
 
 
 def by_ids(df: DataFrame, ids: list[int] | DataFrame, key: str = "id") -> DataFrame:

@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from hearthside.plans import market_queries  # noqa: F401
+from hearthside.plans import clean_queries, deal_queries, market_queries, search_queries, text_queries  # noqa: F401
 from hearthside.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -125,7 +125,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             _pick(c("p_size") % 5, ARABIC_FINISH), F.lit(" الدور "), (c("p_size") % 30).cast("string"),
             F.lit(" استلام "), (c("l_linenumber") + 2024).cast("string"), F.lit(" مقدم "), text("l_partkey"),
-            F.when(c("l_linenumber") % 2 == 0, F.lit(" تقسيط 7 سنوات حديقة")).otherwise(F.lit(" 5 years installment مصعد")),
+            F.when(c("l_linenumber") % 2 == 0, F.lit(" تقسيط 7 سنوات حديقة")).otherwise(F.lit(" 5 year installment مصعد")),
         ).alias("arabic_text"),
         F.concat_ws(", ", *listed).alias("listed_amenities"),
         F.when(c("l_suppkey") % 3 == 0, "agency").otherwise("individual").alias("seller_type"),
@@ -160,7 +160,7 @@ SELECT
   {_pick_sql("l_suppkey % 5", TITLES)} AS title,
   {_pick_sql(f"l_orderkey % {len(DELIVERY_TEXTS)}", [t for t, _ in DELIVERY_TEXTS])} AS delivery_text,
   concat({_pick_sql("p_size % 5", ARABIC_FINISH)}, ' الدور ', CAST(p_size % 30 AS STRING), ' استلام ', CAST(l_linenumber + 2024 AS STRING),
-    ' مقدم ', CAST(l_partkey AS STRING), CASE WHEN l_linenumber % 2 = 0 THEN ' تقسيط 7 سنوات حديقة' ELSE ' 5 years installment مصعد' END) AS arabic_text,
+    ' مقدم ', CAST(l_partkey AS STRING), CASE WHEN l_linenumber % 2 = 0 THEN ' تقسيط 7 سنوات حديقة' ELSE ' 5 year installment مصعد' END) AS arabic_text,
   concat_ws(', ', {_LISTED_SQL}) AS listed_amenities,
   CASE WHEN l_suppkey % 3 = 0 THEN 'agency' ELSE 'individual' END AS seller_type
 FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN part ON l_partkey=p_partkey JOIN supplier ON l_suppkey=s_suppkey

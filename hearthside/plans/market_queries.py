@@ -169,7 +169,7 @@ def log_price_histogram(spark, sf_dir):
 
 @query(
     "crawl_summary",
-    """, p AS (SELECT *, CASE WHEN area_sqm > 0 THEN round_even(price_numeric / area_sqm, 2) END AS price_per_sqm FROM listings_fx)
+    """, p AS (SELECT *, CASE WHEN area_sqm > 0 THEN CAST(format('{:.2f}', price_numeric / area_sqm) AS DOUBLE) END AS price_per_sqm FROM listings_fx)
     SELECT count(*) AS total, round(avg(price_numeric), 4) AS avg_price, min(price_numeric) AS min_price, max(price_numeric) AS max_price,
     round(avg(price_per_sqm), 2) AS avg_price_per_sqm FROM p""",
 )
