@@ -4,6 +4,9 @@ Every feature is an ordered list of rules and the first rule that hits decides.
 ``coalesce`` and ``when`` stop at the first hit, so later patterns are not run.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,90 +15,126 @@ from hearthside.functions.text import FOLDED, any_digits, title_and_description
 from hearthside.functions.truth import fill_missing
 from hearthside.schemas import EXTRACTED
 
+# Words of which a text must hold at least one for the rule to hit, per rule. A plain
+# substring search is far cheaper than a pattern, and most rules miss most texts.
+_FINISH_WORDS = [
+    ["super"], ["fully"], ["semi"], ["finished", "core"], ["lux"],
+    ["سوبر"], ["تشطيب", "متشطب"], ["نصف"], ["بدون", "الطوب"], ["لوكس"],
+]
+_FLOOR_WORDS = [["ground"], ["floor"], ["floor"], ["الدور"], ["الدور"]]
+_DELIVERY_WORDS = [
+    ["ready", "immediate"], ["delivery", "استلام", "تسليم"], ["delivery", "استلام", "تسليم"], ["استلام", "جاهز"],
+]
+_VIEW_WORDS = [
+    ["lagoon"], ["garden"], ["pool"], ["landscape"], ["open", "wide", "panoramic"], ["street"], ["lake"], ["sea"], ["park"],
+]
+_DOWN_PAYMENT_WORDS = [["payment", "dp", "مقدم"], ["payment", "dp", "مقدم"], ["payment", "dp"]]
+_INSTALMENT_WORDS = [["install", "تقسيط"], ["install", "تقسيط", "أقساط"]]
+_MONTHLY_WORDS = ["monthly"]
+_FLAG_WORDS = {
+    "has_garden": ["garden", "حديقة", "جنينة"],
+    "has_roof": ["roof", "روف", "penthouse"],
+    "has_elevator": ["elevator", "lift", "أسانسير", "مصعد"],
+    "has_parking": ["parking", "garage", "جراج", "بارك"],
+    "has_pool": ["pool", "حمام"],
+    "has_security": ["security", "gated", "أمن", "حراسة", "سيكيورتي"],
+}
+
+
+def lowered(text: Column) -> Column:
+    """Lower case with the four letters that fold to plain i, k and s spelled out."""
+    return F.lower(F.translate(text, "ſıİK", "siik"))
+
+
+class Reader:
+    """The feature rules over one text column and its :func:`lowered` form."""
+
+    def __init__(self, text: Column, low: Column | None = None):
+        self.text = text
+        self.low = low if low is not None else lowered(text)
+
+    def _may(self, words: list[str]) -> Column:
+        return reduce(or_, [F.contains(self.low, F.lit(w)) for w in words])
+
+    def _hits(self, pattern: str, words: list[str]) -> Column:
+        return self._may(words) & self.text.rlike(FOLDED + pattern)
+
+    def _captured(self, pattern: str, words: list[str]) -> Column:
+        found = F.regexp_extract(self.text, FOLDED + pattern, 1)
+        return F.when(self._may(words), F.nullif(found, F.lit("")))
+
+    def _ruled(self, rules: list[tuple], words: list[list[str]]) -> Column:
+        """Fixed answer of the first rule that hits, or its captured text where the answer is None."""
+        return F.coalesce(
+            *[
+                self._captured(pattern, need)
+                if answer is None
+                else F.when(self._hits(pattern, need), F.lit(str(answer)))
+                for (pattern, answer), need in zip(rules, words, strict=True)
+            ]
+        )
 
-def _hits(text: Column, pattern: str) -> Column:
-    return text.rlike(FOLDED + pattern)
-
-
-def _captured(text: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, FOLDED + pattern, 1), F.lit(""))
+    def _first_capture(self, patterns: list[str], words: list[list[str]]) -> Column:
+        return F.coalesce(*[self._captured(p, need) for p, need in zip(patterns, words, strict=True)])
 
+    def finish_type(self) -> Column:
+        return self._ruled(vocab.FINISH_RULES, _FINISH_WORDS)
 
-def _label(text: Column, rules: list[tuple[str, str]]) -> Column:
-    return F.coalesce(*[F.when(_hits(text, pattern), F.lit(label)) for pattern, label in rules])
+    def floor_number(self) -> Column:
+        return any_digits(self._ruled(vocab.FLOOR_RULES, _FLOOR_WORDS)).try_cast("int")
 
+    def delivery_hint(self) -> Column:
+        return self._ruled(vocab.DELIVERY_RULES, _DELIVERY_WORDS)
 
-def _label_or_capture(text: Column, rules: list[tuple]) -> Column:
-    return F.coalesce(
-        *[
-            _captured(text, pattern) if answer is None else F.when(_hits(text, pattern), F.lit(str(answer)))
-            for pattern, answer in rules
-        ]
-    )
+    def view_type(self) -> Column:
+        return self._ruled(vocab.VIEW_RULES, _VIEW_WORDS)
 
+    def down_payment(self) -> Column:
+        """The first rule that hits ends the search, even when its text is no number."""
+        return _amount(self._first_capture(vocab.DOWN_PAYMENT_RULES, _DOWN_PAYMENT_WORDS))
 
-def finish_type(text: Column) -> Column:
-    return _label(text, vocab.FINISH_RULES)
+    def instalment_years(self) -> Column:
+        return _amount(self._first_capture(vocab.INSTALMENT_YEAR_RULES, _INSTALMENT_WORDS)).try_cast("int")
 
+    def monthly_instalment(self) -> Column:
+        """Read only when no rule for years hit."""
+        years = [self._hits(p, need) for p, need in zip(vocab.INSTALMENT_YEAR_RULES, _INSTALMENT_WORDS, strict=True)]
+        monthly = self._captured(vocab.INSTALMENT_MONTH_RULE, _MONTHLY_WORDS)
+        return F.when(self._may(_MONTHLY_WORDS) & ~(years[0] | years[1]), _amount(monthly))
 
-def floor_number(text: Column) -> Column:
-    return any_digits(_label_or_capture(text, vocab.FLOOR_RULES)).try_cast("int")
+    def mentions(self, feature: str) -> Column:
+        """True or null; absence from the text is never read as false."""
+        return F.when(self._hits("|".join(vocab.FLAG_RULES[feature]), _FLAG_WORDS[feature]), F.lit(True))
 
+    def compound_name(self, names: list[str] = vocab.COMPOUNDS) -> Column:
+        """First listed name contained in the text, whatever its case."""
+        listed = F.array(*[F.struct(F.lit(n.lower()).alias("low"), F.lit(n).alias("name")) for n in names])
 
-def delivery_hint(text: Column) -> Column:
-    return _label_or_capture(text, vocab.DELIVERY_RULES)
+        def first_named(plain: Column) -> Column:
+            return F.get(F.filter(listed, lambda n: F.contains(plain, n["low"])), F.lit(0))["name"]
 
+        # the one-element array lowers the text once for all names
+        return F.get(F.transform(F.array(F.lower(self.text)), first_named), F.lit(0))
 
-def view_type(text: Column) -> Column:
-    return _label(text, vocab.VIEW_RULES)
+    def features(self) -> dict[str, Column]:
+        found = {
+            "finish_type": self.finish_type(),
+            "compound_name": self.compound_name(),
+            "down_payment_egp": self.down_payment(),
+            "installment_years": self.instalment_years(),
+            "monthly_installment_egp": self.monthly_instalment(),
+            "floor_number": self.floor_number(),
+            "delivery_date": self.delivery_hint(),
+            "view_type": self.view_type(),
+        }
+        found.update({f: self.mentions(f) for f in vocab.FLAG_RULES})
+        return found
 
 
 def _amount(captured: Column) -> Column:
     return F.replace(any_digits(captured), F.lit(","), F.lit("")).try_cast("double")
 
 
-def down_payment(text: Column) -> Column:
-    """The first rule that hits ends the search, even when its text is no number."""
-    return _amount(F.coalesce(*[_captured(text, p) for p in vocab.DOWN_PAYMENT_RULES]))
-
-
-def instalment_years(text: Column) -> Column:
-    hit = F.coalesce(*[_captured(text, p) for p in vocab.INSTALMENT_YEAR_RULES])
-    return _amount(hit).try_cast("int")
-
-
-def monthly_instalment(text: Column) -> Column:
-    """Read only when no rule for years hit."""
-    years = [_hits(text, p) for p in vocab.INSTALMENT_YEAR_RULES]
-    return F.when(~(years[0] | years[1]), _amount(_captured(text, vocab.INSTALMENT_MONTH_RULE)))
-
-
-def mentions(text: Column, feature: str) -> Column:
-    """True or null; absence from the text is never read as false."""
-    return F.when(_hits(text, "|".join(vocab.FLAG_RULES[feature])), F.lit(True))
-
-
-def compound_name(lowered: Column, names: list[str] = vocab.COMPOUNDS) -> Column:
-    """First listed name contained in text that is already in lower case."""
-    listed = F.array(*[F.struct(F.lit(n.lower()).alias("low"), F.lit(n).alias("name")) for n in names])
-    return F.get(F.filter(listed, lambda n: F.contains(lowered, n["low"])), F.lit(0))["name"]
-
-
-def all_features(text: Column, lowered: Column) -> dict[str, Column]:
-    found = {
-        "finish_type": finish_type(text),
-        "compound_name": compound_name(lowered),
-        "down_payment_egp": down_payment(text),
-        "installment_years": instalment_years(text),
-        "monthly_installment_egp": monthly_instalment(text),
-        "floor_number": floor_number(text),
-        "delivery_date": delivery_hint(text),
-        "view_type": view_type(text),
-    }
-    found.update({f: mentions(text, f) for f in vocab.FLAG_RULES})
-    return found
-
-
 def extract(df: DataFrame, text: Column | None = None, prefix: str = "found_") -> DataFrame:
     """Add one ``found_*`` column per feature.
 
@@ -104,8 +143,8 @@ def extract(df: DataFrame, text: Column | None = None, prefix: str = "found_") -
     """
     if text is None:
         text = title_and_description(F.col("title"), F.col("description"))
-    base = df.withColumn("_text", text).withColumn("_lowered", F.lower("_text"))
-    found = all_features(F.col("_text"), F.col("_lowered"))
+    base = df.withColumn("_text", text).withColumn("_lowered", lowered(F.col("_text")))
+    found = Reader(F.col("_text"), F.col("_lowered")).features()
     return base.withColumns({prefix + n: found[n] for n in vocab.EXTRACTED_FEATURES}).drop("_text", "_lowered")
 
 

@@ -7,7 +7,7 @@ from hearthside.functions.extract import enrich, extract
 from hearthside.functions.features import engineer, one_hot, price_per_sqm, price_from_log
 from hearthside.functions.truth import either, text_to_boolean
 from hearthside.operators import clean, gaps, quality
-from hearthside.plans.fixture import COMPOUND_SQL, listings
+from hearthside.plans.fixture import COMPOUND_SQL, listings, text_listings
 from hearthside.plans.registry import KEY, query
 
 _GAPPY = """, g AS (SELECT row_key, furnished, finish_truth, nullif(area_sqm, 0) AS area_sqm, nullif(bedrooms, 0) AS bedrooms,
@@ -67,7 +67,7 @@ def drop_sparse(spark, sf_dir):
     ),
 )
 def coverage_report(spark, sf_dir):
-    df = enrich(listings(spark, sf_dir).select("title", "description"))
+    df = enrich(text_listings(spark, sf_dir).select("title", "description"))
     return quality.coverage(df).withColumn("pct", F.round("pct", 6))
 
 
@@ -78,7 +78,7 @@ def coverage_report(spark, sf_dir):
 )
 def newly_filled(spark, sf_dir):
     before = F.when(F.col("part_no") % 2 == 0, F.lit("")).otherwise(F.lit("lux"))
-    df = extract(listings(spark, sf_dir).withColumn("before", before))
+    df = extract(text_listings(spark, sf_dir).withColumn("before", before))
     return quality.newly_filled(df, {"finish_type": ("before", "found_finish_type")}).withColumn("pct", F.round("pct", 6))
 
 
@@ -187,7 +187,7 @@ def one_hot_flags(spark, sf_dir):
     CASE WHEN delivery_months <= 0.5 THEN 0 WHEN delivery_months <= 12 THEN 1 WHEN delivery_months <= 24 THEN 2 ELSE 3 END AS delivery_bucket FROM listings_fx""",
 )
 def ratio_features(spark, sf_dir):
-    df = listings(spark, sf_dir).select(
+    df = text_listings(spark, sf_dir).select(
         "row_key", "title", "description", "area_sqm", "bedrooms", "bathrooms", "amenities", "delivery_months"
     )
     df = clean.split_amenities(clean.fill_constants(enrich(df).withColumn("delivery_date", F.col("delivery_months"))))
@@ -223,14 +223,14 @@ def per_sqm(spark, sf_dir):
     CASE WHEN contains(amenities, 'Elevator') THEN 1 ELSE 0 END AS "Elevator", CASE WHEN contains(amenities, 'Security') THEN 1 ELSE 0 END AS "Security", 0 AS "Covered Parking", 0 AS roof FROM listings_fx""",
 )
 def flags_merged(spark, sf_dir):
-    df = enrich(listings(spark, sf_dir).select("row_key", "title", "description", "amenities"))
+    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description", "amenities"))
     merged = clean.booleans_to_int(clean.merge_text_flags(clean.split_amenities(df)))
     return merged.select("row_key", "Pool", "Private Garden", "Elevator", "Security", "Covered Parking", "roof")
 
 
 @query("gap_rows", f"SELECT row_key FROM listings_fx WHERE finish_truth IS NULL OR ({COMPOUND_SQL}) IS NULL")
 def gap_rows(spark, sf_dir):
-    df = enrich(listings(spark, sf_dir).select("row_key", "title", "description"))
+    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description"))
     return gaps.rows_with_gaps(df).select("row_key")
 
 
@@ -239,7 +239,7 @@ def gap_rows(spark, sf_dir):
     f"SELECT row_key FROM listings_fx WHERE (finish_truth IS NULL OR ({COMPOUND_SQL}) IS NULL) AND row_key NOT IN (SELECT row_key FROM listings_fx WHERE order_no % 4 = 0)",
 )
 def gap_rows_left(spark, sf_dir):
-    df = enrich(listings(spark, sf_dir).select("row_key", "title", "description"))
+    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description"))
     done = listings(spark, sf_dir).where("order_no % 4 = 0").select("row_key")
     return gaps.not_yet_done(gaps.rows_with_gaps(df), done, "row_key").select("row_key")
 
@@ -252,7 +252,7 @@ _BATCHES = f""", gap AS (SELECT * FROM listings_fx WHERE finish_truth IS NULL OR
 
 
 def _gap_batches(spark, sf_dir):
-    df = enrich(listings(spark, sf_dir).select("row_key", "title", "description", "price_numeric"))
+    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description", "price_numeric"))
     return gaps.request_texts(gaps.rows_with_gaps(df), "row_key", KEY)
 
 
@@ -271,7 +271,7 @@ def prompt_batches(spark, sf_dir):
 )
 def reply_merge(spark, sf_dir):
     """Replies made from the requests: some broken, some with too few items, some lone objects."""
-    df = enrich(listings(spark, sf_dir).select("row_key", "title", "description", "price_numeric"))
+    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description", "price_numeric"))
     requests = _gap_batches(spark, sf_dir)
     items = F.transform(
         F.sequence(F.lit(0), F.col("n") - 1),

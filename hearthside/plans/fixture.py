@@ -9,6 +9,8 @@ expected answer.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthside.sources.readers import spread
+
 AS_OF = "2025-06-15"
 
 # delivery text -> months from AS_OF; the text is chosen by order key modulo its length
@@ -41,8 +43,10 @@ LISTED_AMENITIES = [
 ]
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """One given table; ``heavy`` work per row uses all cores even on a single-split file."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(table) if heavy else table
 
 
 def _pick(selector: Column, values: list[str | None]) -> Column:
@@ -59,13 +63,14 @@ def _pick_sql(selector: str, values: list[str | None], quote: bool = True) -> st
     return f"CASE {selector} {arms} END"
 
 
-def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def joined(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Order lines with part, supplier and place.
 
     Orders only test existence, hence a semi join that reads one column. Join
     strategies are left to the planner: the small tables are broadcast by their size.
     """
-    t = {n: read(spark, sf_dir, n) for n in ("lineitem", "orders", "part", "supplier", "nation", "region")}
+    t = {n: read(spark, sf_dir, n) for n in ("orders", "part", "supplier", "nation", "region")}
+    t["lineitem"] = read(spark, sf_dir, "lineitem", heavy)
     return (
         t["lineitem"]
         .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
@@ -76,7 +81,12 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows for queries that do much work per row."""
+    return listings(spark, sf_dir, heavy=True)
+
+
+def listings(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     c = F.col
     text = lambda x: c(x).cast("string")
     english = _pick(
@@ -88,7 +98,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("l_linenumber") + 2024).cast("string"), F.lit(", down payment EGP "), text("l_partkey"),
     )
     listed = [F.when(c("l_partkey") % (i + 2) == 0, F.lit(a)) for i, a in enumerate(LISTED_AMENITIES)]
-    return joined(spark, sf_dir).select(
+    return joined(spark, sf_dir, heavy).select(
         F.concat_ws("-", text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey")).alias("row_key"),
         F.when(c("l_partkey") % 50 == 0, "").otherwise((c("l_orderkey") * 8 + c("l_linenumber")).cast("string")).alias("ad_id"),
         c("l_extendedprice").alias("price_numeric"),

@@ -7,8 +7,9 @@ the check does not depend on a second regular-expression dialect.
 from pyspark.sql import functions as F
 
 from hearthside import vocab
-from hearthside.functions import extract, text
+from hearthside.functions import text
 from hearthside.functions.dates import posted_date, with_delivery_months
+from hearthside.functions.extract import Reader, enrich
 from hearthside.functions.features import delivery_bucket
 from hearthside.plans.fixture import (
     ARABIC_FINISH_SQL,
@@ -16,8 +17,8 @@ from hearthside.plans.fixture import (
     COMPOUND_SQL,
     DELIVERY_SQL,
     LISTED_AMENITIES,
-    listings,
     read,
+    text_listings,
 )
 from hearthside.plans.registry import query
 
@@ -50,7 +51,7 @@ def numbers_parsed(spark, sf_dir):
     part = F.col("part_no").cast("string")
     price = F.when(F.col("part_no") % 9 == 0, F.lit("ask")).otherwise(F.concat(F.lit("EGP "), part, F.lit(",000.5")))
     area = F.concat(F.translate(F.col("size_no").cast("string"), vocab.ASCII_DIGITS, vocab.ARABIC_DIGITS), F.lit(" SQM"))
-    return listings(spark, sf_dir).select(
+    return text_listings(spark, sf_dir).select(
         "row_key",
         text.parse_number(price).alias("price"),
         text.parse_number(area).alias("area"),
@@ -64,12 +65,12 @@ def ad_ids(spark, sf_dir):
     url = F.when(F.col("part_no") % 4 == 0, F.concat(F.lit("/en/ad/flat-"), order, F.lit(".html"))).otherwise(
         F.concat(F.lit("/en/ad/flat-ID"), order, F.lit(".html"))
     )
-    return listings(spark, sf_dir).select("row_key", text.ad_id(url).alias("ad_id"))
+    return text_listings(spark, sf_dir).select("row_key", text.ad_id(url).alias("ad_id"))
 
 
 @query("lower_text", "SELECT row_key, lower(city) AS city, lower(title) AS title, bedrooms FROM listings_fx")
 def lower_text(spark, sf_dir):
-    df = listings(spark, sf_dir).select("row_key", "city", "title", "bedrooms")
+    df = text_listings(spark, sf_dir).select("row_key", "city", "title", "bedrooms")
     return text.lower_text(df)
 
 
@@ -81,13 +82,13 @@ def lower_text(spark, sf_dir):
 )
 def amenity_flags(spark, sf_dir):
     flags = text.amenity_flags(F.col("listed_amenities"))
-    return listings(spark, sf_dir).select("row_key", *[f.alias(n) for n, f in flags.items()])
+    return text_listings(spark, sf_dir).select("row_key", *[f.alias(n) for n, f in flags.items()])
 
 
 @query("seller_prefix", "SELECT row_key, lower(seller_name) AS seller_name FROM listings_fx")
 def seller_prefix(spark, sf_dir):
     noisy = F.lower(F.concat(F.col("seller_name"), F.lit("Member since "), (F.col("line_no") + 2010).cast("string")))
-    return listings(spark, sf_dir).select("row_key", text.before_marker(noisy).alias("seller_name"))
+    return text_listings(spark, sf_dir).select("row_key", text.before_marker(noisy).alias("seller_name"))
 
 
 @query(
@@ -97,7 +98,7 @@ def seller_prefix(spark, sf_dir):
 )
 def text_assembled(spark, sf_dir):
     title = F.when(F.col("line_no") != 1, F.col("title"))
-    return listings(spark, sf_dir).select(
+    return text_listings(spark, sf_dir).select(
         "row_key",
         text.title_and_description(title, F.col("description")).alias("whole"),
         text.drop_prefix(F.concat(F.lit("Description  "), F.col("description"))).alias("bare"),
@@ -116,7 +117,7 @@ def urls_resolved(spark, sf_dir):
         .when(F.col("order_no") % 3 == 1, F.concat(F.lit("https://other.example/"), part))
         .otherwise(F.concat(F.lit("//cdn.example/"), part))
     )
-    return listings(spark, sf_dir).select("row_key", text.absolute_url(href, "https://ads.example").alias("url"))
+    return text_listings(spark, sf_dir).select("row_key", text.absolute_url(href, "https://ads.example").alias("url"))
 
 
 @query(
@@ -127,7 +128,7 @@ def bracket_counts(spark, sf_dir):
     label = F.when(F.col("line_no") == 1, F.col("city")).otherwise(
         F.concat(F.col("city"), F.lit(" ("), F.col("part_no").cast("string"), F.lit(",007)"))
     )
-    return listings(spark, sf_dir).select(
+    return text_listings(spark, sf_dir).select(
         "row_key", text.without_bracketed_count(label).alias("name"), text.bracketed_count(label).alias("ads")
     )
 
@@ -138,7 +139,7 @@ def bracket_counts(spark, sf_dir):
     format('{:,}', CAST(round_even(price_numeric * 100, 0) AS BIGINT)) AS price FROM listings_fx""",
 )
 def shown_text(spark, sf_dir):
-    return listings(spark, sf_dir).select(
+    return text_listings(spark, sf_dir).select(
         "row_key",
         text.title_case(F.concat(F.lit("stand-"), F.col("property_type"))).alias("title"),
         text.thousands(F.bround(F.col("price_numeric") * 100, 0)).alias("price"),
@@ -147,7 +148,7 @@ def shown_text(spark, sf_dir):
 
 @query("finish_type", "SELECT row_key, finish_truth AS finish_type FROM listings_fx")
 def finish_type(spark, sf_dir):
-    return listings(spark, sf_dir).select("row_key", extract.finish_type(F.col("description")).alias("finish_type"))
+    return text_listings(spark, sf_dir).select("row_key", Reader(F.col("description")).finish_type().alias("finish_type"))
 
 
 @query(
@@ -155,22 +156,22 @@ def finish_type(spark, sf_dir):
     "SELECT row_key, TRY_CAST(regexp_extract(description, 'floor\\s*(\\d{1,2})', 1) AS INT) AS floor_number FROM listings_fx",
 )
 def floor_number(spark, sf_dir):
-    return listings(spark, sf_dir).select("row_key", extract.floor_number(F.col("description")).alias("floor_number"))
+    return text_listings(spark, sf_dir).select("row_key", Reader(F.col("description")).floor_number().alias("floor_number"))
 
 
 @query("delivery_hint", "SELECT row_key, CAST(2024 + line_no AS STRING) AS delivery_date FROM listings_fx")
 def delivery_hint(spark, sf_dir):
-    return listings(spark, sf_dir).select("row_key", extract.delivery_hint(F.col("description")).alias("delivery_date"))
+    return text_listings(spark, sf_dir).select("row_key", Reader(F.col("description")).delivery_hint().alias("delivery_date"))
 
 
 @query("view_type", "SELECT row_key, CASE line_no % 4 WHEN 0 THEN 'garden' WHEN 1 THEN 'sea' WHEN 2 THEN 'pool' END AS view_type FROM listings_fx")
 def view_type(spark, sf_dir):
-    return listings(spark, sf_dir).select("row_key", extract.view_type(F.col("description")).alias("view_type"))
+    return text_listings(spark, sf_dir).select("row_key", Reader(F.col("description")).view_type().alias("view_type"))
 
 
 @query("down_payment", "SELECT row_key, CAST(part_no AS DOUBLE) AS down_payment_egp FROM listings_fx")
 def down_payment(spark, sf_dir):
-    return listings(spark, sf_dir).select("row_key", extract.down_payment(F.col("description")).alias("down_payment_egp"))
+    return text_listings(spark, sf_dir).select("row_key", Reader(F.col("description")).down_payment().alias("down_payment_egp"))
 
 
 @query(
@@ -185,10 +186,10 @@ def instalments(spark, sf_dir):
         .when(F.col("line_no") % 3 == 1, F.concat(size, F.lit(" yr install")))
         .otherwise(F.concat(F.lit("monthly installment of EGP "), part, F.lit(",000")))
     )
-    return listings(spark, sf_dir).withColumn("phrase", phrase).select(
+    return text_listings(spark, sf_dir).withColumn("phrase", phrase).select(
         "row_key",
-        extract.instalment_years(F.col("phrase")).alias("installment_years"),
-        extract.monthly_instalment(F.col("phrase")).alias("monthly_installment_egp"),
+        Reader(F.col("phrase")).instalment_years().alias("installment_years"),
+        Reader(F.col("phrase")).monthly_instalment().alias("monthly_installment_egp"),
     )
 
 
@@ -198,17 +199,16 @@ def instalments(spark, sf_dir):
     CASE WHEN line_no % 3 = 0 THEN true END AS has_elevator, CASE WHEN size_no % 2 = 0 THEN true END AS has_security FROM listings_fx""",
 )
 def has_flags(spark, sf_dir):
-    whole = listings(spark, sf_dir).withColumn("whole", F.concat("description", F.lit(" "), "amenities"))
+    whole = text_listings(spark, sf_dir).withColumn("whole", F.concat("description", F.lit(" "), "amenities"))
     return whole.select(
         "row_key",
-        *[extract.mentions(F.col("whole"), f).alias(f) for f in ("has_garden", "has_pool", "has_elevator", "has_security")],
+        *[Reader(F.col("whole")).mentions(f).alias(f) for f in ("has_garden", "has_pool", "has_elevator", "has_security")],
     )
 
 
 @query("compound_match", f"SELECT row_key, {COMPOUND_SQL} AS compound_name FROM listings_fx")
 def compound_match(spark, sf_dir):
-    lowered = listings(spark, sf_dir).withColumn("lowered", F.lower("title"))
-    return lowered.select("row_key", extract.compound_name(F.col("lowered")).alias("compound_name"))
+    return text_listings(spark, sf_dir).select("row_key", Reader(F.col("title")).compound_name().alias("compound_name"))
 
 
 @query(
@@ -218,7 +218,7 @@ def compound_match(spark, sf_dir):
     {COMPOUND_SQL} AS compound_name FROM listings_fx""",
 )
 def extracted_english(spark, sf_dir):
-    return extract.enrich(listings(spark, sf_dir).select("row_key", "title", "description")).select(
+    return enrich(text_listings(spark, sf_dir).select("row_key", "title", "description")).select(
         "row_key", "finish_type", "floor_number", "delivery_date", "view_type", "down_payment_egp", "compound_name"
     )
 
@@ -230,7 +230,7 @@ def extracted_english(spark, sf_dir):
     CASE WHEN line_no % 2 = 0 THEN true END AS has_garden, CASE WHEN line_no % 2 = 1 THEN true END AS has_elevator FROM listings_fx""",
 )
 def extracted_arabic(spark, sf_dir):
-    return extract.enrich(listings(spark, sf_dir).select("row_key", "arabic_text"), F.col("arabic_text")).select(
+    return enrich(text_listings(spark, sf_dir).select("row_key", "arabic_text"), F.col("arabic_text")).select(
         "row_key", "finish_type", "floor_number", "delivery_date", "down_payment_egp", "installment_years", "has_garden", "has_elevator"
     )
 
@@ -238,7 +238,7 @@ def extracted_arabic(spark, sf_dir):
 @query("delivery_months", f"SELECT row_key, round({DELIVERY_SQL}, 8) AS months FROM listings_fx")
 def months(spark, sf_dir):
     as_of = F.lit(AS_OF).cast("date")
-    found = with_delivery_months(listings(spark, sf_dir), "delivery_text", "months", as_of)
+    found = with_delivery_months(text_listings(spark, sf_dir), "delivery_text", "months", as_of)
     return found.select("row_key", F.round("months", 8).alias("months"))
 
 
@@ -247,7 +247,7 @@ def months(spark, sf_dir):
     "SELECT row_key, CASE WHEN delivery_months <= 0.5 THEN 0 WHEN delivery_months <= 12 THEN 1 WHEN delivery_months <= 24 THEN 2 ELSE 3 END AS bucket FROM listings_fx",
 )
 def bucket(spark, sf_dir):
-    return listings(spark, sf_dir).select("row_key", delivery_bucket(F.col("delivery_months")).alias("bucket"))
+    return text_listings(spark, sf_dir).select("row_key", delivery_bucket(F.col("delivery_months")).alias("bucket"))
 
 
 @query(
@@ -261,4 +261,4 @@ def posted(spark, sf_dir):
         .when(F.col("order_no") % 3 == 1, F.concat(F.lit("Listed Jun "), line, F.lit(", 2024 here")))
         .otherwise(F.lit("no date"))
     )
-    return listings(spark, sf_dir).select("row_key", posted_date(page).alias("posted"))
+    return text_listings(spark, sf_dir).select("row_key", posted_date(page).alias("posted"))

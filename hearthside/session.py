@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ def build_session(app: str = "hearthside", master: str | None = None, **conf) ->
         "spark.sql.session.timeZone": "UTC",
         # a very deep page of a sorted result becomes a distributed sort, not a driver heap
         "spark.sql.execution.topKSortFallbackThreshold": "200000",
+        # above this bytecode size the JVM never compiles a method; smaller ones are worth a split
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
         **conf,
@@ -45,6 +48,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name inside the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that a lost executor cannot change it."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -19,6 +19,16 @@ def exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a plain file scan out to all cores when its files give too few tasks.
+
+    A small file with one row group is one task whatever its work costs. A large table
+    already has more splits than the cluster has cores and is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType = schemas.PROCESSED) -> DataFrame:
     """Header, quoted line breaks, NaN as null."""
     options = {"header": True, "multiLine": True, "escape": '"', "enforceSchema": False, "nanValue": "nan"}
