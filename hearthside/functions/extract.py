@@ -41,17 +41,21 @@ _FLAG_WORDS = {
 }
 
 
-def lowered(text: Column) -> Column:
-    """Lower case with the four letters that fold to plain i, k and s spelled out."""
-    return F.lower(F.translate(text, "ſıİK", "siik"))
+def folded(plain: Column) -> Column:
+    """Lower-case text with the letters that match a plain i or s spelled as such."""
+    return F.translate(plain, "ſı\u0307", "si")
 
 
 class Reader:
-    """The feature rules over one text column and its :func:`lowered` form."""
+    """The feature rules over a text column, its lower-case and its :func:`folded` form.
 
-    def __init__(self, text: Column, low: Column | None = None):
+    Pass the latter two as columns of an earlier projection; every rule reads them.
+    """
+
+    def __init__(self, text: Column, plain: Column | None = None, low: Column | None = None):
         self.text = text
-        self.low = low if low is not None else lowered(text)
+        self.plain = plain if plain is not None else F.lower(text)
+        self.low = low if low is not None else folded(self.plain)
 
     def _may(self, words: list[str]) -> Column:
         return reduce(or_, [F.contains(self.low, F.lit(w)) for w in words])
@@ -108,13 +112,7 @@ class Reader:
 
     def compound_name(self, names: list[str] = vocab.COMPOUNDS) -> Column:
         """First listed name contained in the text, whatever its case."""
-        listed = F.array(*[F.struct(F.lit(n.lower()).alias("low"), F.lit(n).alias("name")) for n in names])
-
-        def first_named(plain: Column) -> Column:
-            return F.get(F.filter(listed, lambda n: F.contains(plain, n["low"])), F.lit(0))["name"]
-
-        # the one-element array lowers the text once for all names
-        return F.get(F.transform(F.array(F.lower(self.text)), first_named), F.lit(0))
+        return F.coalesce(*[F.when(F.contains(self.plain, F.lit(n.lower())), F.lit(n)) for n in names])
 
     def features(self) -> dict[str, Column]:
         found = {
@@ -143,9 +141,9 @@ def extract(df: DataFrame, text: Column | None = None, prefix: str = "found_") -
     """
     if text is None:
         text = title_and_description(F.col("title"), F.col("description"))
-    base = df.withColumn("_text", text).withColumn("_lowered", lowered(F.col("_text")))
-    found = Reader(F.col("_text"), F.col("_lowered")).features()
-    return base.withColumns({prefix + n: found[n] for n in vocab.EXTRACTED_FEATURES}).drop("_text", "_lowered")
+    base = df.withColumn("_text", text).withColumn("_plain", F.lower("_text")).withColumn("_low", folded(F.col("_plain")))
+    found = Reader(F.col("_text"), F.col("_plain"), F.col("_low")).features()
+    return base.withColumns({prefix + n: found[n] for n in vocab.EXTRACTED_FEATURES}).drop("_text", "_plain", "_low")
 
 
 def enrich(df: DataFrame, text: Column | None = None) -> DataFrame:

@@ -7,9 +7,10 @@ wanted ranks are located by counting, in two scans that shuffle little:
 1. Count values per group and logarithmic bin. A bin is a fixed function of the
    value, so partial counts merge before the shuffle. A running sum over the
    (few) bins of a group names the bins that hold the wanted ranks.
-2. Keep only rows of those bins (about a thousandth of the rows), cut each bin into
-   equal-width slices, find the slice the same way, and order only the distinct
-   values inside that slice.
+2. Keep only rows of those bins (about a thousandth of the rows), count their distinct
+   values and order these to reach the rank. The first scan has counted every bin, so
+   it is known beforehand whether a bin fits one task; if one does not, its values are
+   first cut into equal-width slices and only the slice with the rank is ordered.
 
 Both scans prune to the group keys and the measured columns. Counts do not depend
 on task order, so re-run tasks give the same answer.
@@ -26,6 +27,7 @@ from hearthside.session import settle
 
 LOG_BINS = 256
 SLICES = 1024
+ROWS_PER_TASK = 2_000_000
 
 
 def _ranks(prob: float, n: Column) -> tuple[Column, Column]:
@@ -59,8 +61,35 @@ def _long_form(df: DataFrame, by: list[str], measures: dict[str, Column]) -> Dat
     )
 
 
+def _narrow(inside: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
+    """Distinct values, with counts, of only those slices of a bin that hold a wanted rank."""
+    slice_no = F.when(
+        F.col("_hi") > F.col("_lo"),
+        F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(SLICES))),
+    ).otherwise(F.lit(0))
+    bin_key = [*group, "_bin", "_n"]
+    counted = (
+        inside.withColumn("_slice", slice_no)
+        .groupBy(*bin_key, "_base", "_slice", "_x")
+        .agg(F.count("*").alias("_c"))
+    )
+    per_slice = counted.groupBy(*bin_key, "_base", "_slice").agg(F.sum("_c").alias("_c"))
+    order = W.partitionBy(*bin_key).orderBy("_slice").rowsBetween(W.unboundedPreceding, 0)
+    slices = per_slice.withColumn("_stop", F.col("_base") + F.sum("_c").over(order)).withColumn(
+        "_start", F.col("_stop") - F.col("_c")
+    )
+    wanted = slices.where(_holds_rank(probs, F.col("_n"), F.col("_start"), F.col("_stop")))
+    return counted.drop("_base").join(
+        settle(wanted.select(*bin_key, "_slice", F.col("_start").alias("_base"))), [*bin_key, "_slice"]
+    )
+
+
 def exact_quantiles(
-    df: DataFrame, by: list[str], measures: dict[str, Column], probs: list[float]
+    df: DataFrame,
+    by: list[str],
+    measures: dict[str, Column],
+    probs: list[float],
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Linear-interpolated quantiles per group.
 
@@ -81,32 +110,21 @@ def exact_quantiles(
     # the null bin of a group without any value is kept as a marker
     targets = settle(
         bins.where((F.col("_c") > 0) & holds | (F.col("_n") == 0)).select(
-            *group, "_bin", "_lo", "_hi", F.col("_start").alias("_base"), "_n"
+            *group, "_bin", "_lo", "_hi", F.col("_start").alias("_base"), "_n", "_c"
         )
     )
+    largest = targets.agg(F.max("_c")).first()[0] or 0
 
-    inside = values.join(targets.where("_n > 0"), [*group, "_bin"])
-    slice_no = F.when(
-        F.col("_hi") > F.col("_lo"),
-        F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(SLICES))),
-    ).otherwise(F.lit(0))
-    counted = (
-        inside.withColumn("_slice", slice_no)
-        .groupBy(*group, "_bin", "_base", "_n", "_slice", "_x")
-        .agg(F.count("*").alias("_c"))
-    )
-    per_slice = counted.groupBy(*group, "_bin", "_base", "_n", "_slice").agg(F.sum("_c").alias("_c"))
-    order = W.partitionBy(*group, "_bin").orderBy("_slice").rowsBetween(W.unboundedPreceding, 0)
-    slices = per_slice.withColumn("_stop", F.col("_base") + F.sum("_c").over(order)).withColumn(
-        "_start", F.col("_stop") - F.col("_c")
-    )
-    slices = slices.where(_holds_rank(probs, F.col("_n"), F.col("_start"), F.col("_stop"))).select(
-        *group, "_bin", "_slice", F.col("_start").alias("_slice_base")
-    )
-    ordered = W.partitionBy(*group, "_bin", "_slice").orderBy("_x").rowsBetween(W.unboundedPreceding, 0)
+    inside = values.join(targets.where("_n > 0").drop("_c"), [*group, "_bin"])
+    if largest <= rows_per_task:
+        counted = inside.groupBy(*group, "_bin", "_base", "_n", "_x").agg(F.count("*").alias("_c"))
+        cell = [*group, "_bin"]
+    else:
+        counted = _narrow(inside, group, probs)
+        cell = [*group, "_bin", "_slice"]
+    ordered = W.partitionBy(*cell).orderBy("_x").rowsBetween(W.unboundedPreceding, 0)
     placed = (
-        counted.join(slices, [*group, "_bin", "_slice"])
-        .withColumn("_stop", F.col("_slice_base") + F.sum("_c").over(ordered))
+        counted.withColumn("_stop", F.col("_base") + F.sum("_c").over(ordered))
         .withColumn("_start", F.col("_stop") - F.col("_c"))
         .select(*group, "_n", "_x", "_start", "_stop")
     )

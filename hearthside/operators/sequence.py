@@ -50,7 +50,7 @@ def first_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
     An aggregate, not a window: map tasks already reduce a repeated key to one row,
     so a key with a third of the table is no hot spot. Blank keys skip the shuffle.
     """
-    blank = F.coalesce(F.col(key), F.lit("")) == ""
+    blank = F.coalesce(F.col(key).cast("string"), F.lit("")) == ""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     firsts = df.where(~blank).groupBy(F.col(key).alias("_key")).agg(F.min_by(row, order).alias("_row"))
     return firsts.select("_row.*").unionByName(df.where(blank))

@@ -41,7 +41,8 @@ def verdicts(spark, sf_dir):
     _PRED_SQL + "SELECT row_number() OVER (ORDER BY delta, row_key, price_numeric, description) AS deal_rank, row_key FROM d",
 )
 def deal_rank(spark, sf_dir):
-    return deals.rank_deals(deals.with_verdict(predicted(spark, sf_dir)), KEY).select("deal_rank", "row_key")
+    judged = deals.with_verdict(predicted(spark, sf_dir)).select(*KEY, "delta_pct")
+    return deals.rank_deals(judged, KEY).select("deal_rank", "row_key")
 
 
 @query(
@@ -102,7 +103,8 @@ _CELLS_SQL = " UNION ALL ".join(
     + " FROM c GROUP BY position, feature",
 )
 def compare_transposed(spark, sf_dir):
-    df = numbered(spark, sf_dir).withColumnRenamed("finish_truth", "finish_type")
+    shown = ["property_type", "city", "governorate", "area_sqm", "bedrooms", "bathrooms", "finish_truth"]
+    df = numbered(spark, sf_dir, shown).withColumnRenamed("finish_truth", "finish_type")
     return deals.comparison_table(df, [3, 14, 159, 265])
 
 

@@ -20,8 +20,10 @@ def search_table(spark, sf_dir):
     return one_hot(listings(spark, sf_dir).withColumnRenamed("finish_truth", "finish_type"), domains)
 
 
-def numbered(spark, sf_dir):
-    return contiguous_id(listings(spark, sf_dir), KEY)
+def numbered(spark, sf_dir, columns=()):
+    """Listings with an id; only the key and the wanted columns are sorted and stored."""
+    kept = [c for c in dict.fromkeys([*KEY, *columns])]
+    return contiguous_id(listings(spark, sf_dir).select(*kept), KEY)
 
 
 @query(
@@ -107,13 +109,13 @@ def explore_rows(spark, sf_dir):
 
 @query("search_table_ids", _IDS + f"SELECT id, {_SHOWN_SQL} FROM t")
 def search_table_ids(spark, sf_dir):
-    return numbered(spark, sf_dir).select("id", *_SHOWN)
+    return numbered(spark, sf_dir, _SHOWN).select("id", *_SHOWN)
 
 
 @query("compare_ids", _IDS + f"SELECT id, {_SHOWN_SQL} FROM t WHERE id IN (7, 11, 500, 501, 999999999)")
 def compare_ids(spark, sf_dir):
     ids = search.parse_ids("7, 11,500,, 501, 7, 999999999")
-    return search.by_ids(numbered(spark, sf_dir), ids).select("id", *_SHOWN)
+    return search.by_ids(numbered(spark, sf_dir, _SHOWN), ids).select("id", *_SHOWN)
 
 
 @query(

@@ -208,7 +208,8 @@ def has_flags(spark, sf_dir):
 
 @query("compound_match", f"SELECT row_key, {COMPOUND_SQL} AS compound_name FROM listings_fx")
 def compound_match(spark, sf_dir):
-    return text_listings(spark, sf_dir).select("row_key", Reader(F.col("title")).compound_name().alias("compound_name"))
+    lowered = text_listings(spark, sf_dir).withColumn("plain", F.lower("title"))
+    return lowered.select("row_key", Reader(F.col("title"), F.col("plain")).compound_name().alias("compound_name"))
 
 
 @query(

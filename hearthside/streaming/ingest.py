@@ -40,7 +40,7 @@ def _add_batch(rows: DataFrame, batch: int, *, key: str, order: list[str], out:
     fresh = first_per_key(rows.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != ""), key, ordering)
     earlier = _ledger_before(spark, ledger, batch)
     if earlier is not None:
-        fresh = unseen(fresh, earlier.select(F.col("seen").alias(key)), key)
+        fresh = unseen(fresh, earlier.select(F.col("seen").cast(rows.schema[key].dataType).alias(key)), key)
     fresh.write.mode("overwrite").parquet(f"{out}/batch={batch}")
     written = spark.read.parquet(f"{out}/batch={batch}")
     written.select(F.col(key).cast("string").alias("seen")).write.mode("overwrite").parquet(f"{ledger}/batch={batch}")
