@@ -128,11 +128,10 @@ def iqr_fence(df: DataFrame, value: Column, width: float = 1.5) -> DataFrame:
 
 
 def drop_outliers(df: DataFrame, price: str = "price_numeric", width: float = 1.5) -> DataFrame:
-    """Keep rows inside the fence on the log price; the bounds are scalar subqueries."""
+    """Keep rows inside the fence on the log price; both bounds come from one scalar subquery."""
     logged = F.log1p(F.col(price))
-    fence = iqr_fence(df, logged, width)
-    low, high = fence.select("low").scalar(), fence.select("high").scalar()
-    return df.where((logged >= low) & (logged <= high))
+    fence = iqr_fence(df, logged, width).select(F.struct("low", "high").alias("f")).scalar()
+    return df.where((logged >= fence["low"]) & (logged <= fence["high"]))
 
 
 def unique_counts(df: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:

@@ -15,6 +15,12 @@ def with_ppsqm(df: DataFrame) -> DataFrame:
     return df.where(F.col(AREA) > 0).withColumn("ppsqm", F.col(PRICE) / F.col(AREA))
 
 
+def _with_values(row: DataFrame, values: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame; one scalar subquery brings all of them."""
+    packed = values.select(F.struct("*").alias("v")).scalar()
+    return row.withColumn("_v", packed).select("*", *[F.col(f"_v.{c}").alias(c) for c in values.columns]).drop("_v")
+
+
 def headline_stats(df: DataFrame, approx: bool = False) -> DataFrame:
     """One row: counts, mean and median price, median area (published as ``avg_area``)."""
     distinct = F.approx_count_distinct if approx else F.count_distinct
@@ -25,9 +31,7 @@ def headline_stats(df: DataFrame, approx: bool = False) -> DataFrame:
         distinct(F.col("city")).alias("num_cities"),
     )
     middle = medians(df, [], {"median_price": F.col(PRICE), "avg_area": F.col(AREA)}, approx)
-    return basic.withColumns(
-        {c: middle.select(c).scalar() for c in ("median_price", "avg_area")}
-    )
+    return _with_values(basic, middle)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -93,8 +97,7 @@ def budget_summary(df: DataFrame, budget: float, margin: float = 0.15, approx: b
         {"median_area": F.col(AREA), "median_bedrooms": F.col("bedrooms"), "median_bathrooms": F.col("bathrooms")},
         approx,
     )
-    names = ["median_area", "median_bedrooms", "median_bathrooms"]
-    return counted.withColumns({n: middle.select(n).scalar() for n in names}).where("listings > 5")
+    return _with_values(counted, middle).where("listings > 5")
 
 
 def budget_cities(df: DataFrame, budget: float, margin: float = 0.15, top: int = 5) -> DataFrame:
@@ -124,7 +127,8 @@ def histogram(df: DataFrame, value: Column, bins: int = 60) -> DataFrame:
         F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("a"),
         F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("b"),
     )
-    low, high = ends.select("a").scalar(), ends.select("b").scalar()
+    range_ = ends.select(F.struct("a", "b").alias("r")).scalar()
+    low, high = range_["a"], range_["b"]
     number = F.least(F.floor((F.col("x") - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
     counted = values.withColumn("bin", number).groupBy("bin").agg(F.count("*").alias("n"))
     width = (F.col("b") - F.col("a")) / bins

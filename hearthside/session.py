@@ -22,7 +22,12 @@ def build_session(app: str = "hearthside", master: str | None = None, **conf) ->
         "spark.sql.execution.topKSortFallbackThreshold": "200000",
         # above this bytecode size the JVM never compiles a method; smaller ones are worth a split
         "spark.sql.codegen.hugeMethodLimit": "8000",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # pages can be large: Arrow batches for Python are bounded by rows as well as bytes
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+        # keyed streaming state grows with the keys ever seen, so it belongs on disk
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         "spark.ui.showConsoleProgress": "false",
         **conf,
     }
@@ -55,9 +60,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that a lost executor cannot change it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and go on from the written table.
+
+    A lost executor can then no longer change rows or row numbers, and later passes
+    read only the columns they need.
+    """
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def settle(df: DataFrame) -> DataFrame:
