@@ -12,7 +12,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from hearthside.plans.catalog import QUERIES  # noqa: E402
-from hearthside.session import build_session  # noqa: E402
+from hearthside.session import build_session, release  # noqa: E402
 
 HEADLINE = [
     "market_median_ppsqm_by_city", "market_stats", "market_avg_by_governorate", "market_value_counts", "affordable_cities",
@@ -27,7 +27,9 @@ HEADLINE = [
 def run(query, spark, sf_dir):
     start = time.perf_counter()
     query(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    seconds = time.perf_counter() - start
+    release()
+    return seconds
 
 
 def main():

@@ -64,8 +64,8 @@ class Reader:
         return self._may(words) & self.text.rlike(FOLDED + pattern)
 
     def _captured(self, pattern: str, words: list[str]) -> Column:
-        found = F.regexp_extract(self.text, FOLDED + pattern, 1)
-        return F.when(self._may(words), F.nullif(found, F.lit("")))
+        found = F.regexp_extract_all(self.text, F.lit(FOLDED + pattern), F.lit(1))
+        return F.when(self._may(words), F.get(found, F.lit(0)))
 
     def _ruled(self, rules: list[tuple], words: list[list[str]]) -> Column:
         """Fixed answer of the first rule that hits, or its captured text where the answer is None."""

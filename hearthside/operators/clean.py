@@ -1,7 +1,5 @@
 """Cleaning: column dropping, fills, flags, duplicates and outliers."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
@@ -166,13 +164,19 @@ def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return stats.select(F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(columns))])))
 
 
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
+
+
+def underscored(df: DataFrame, known: list[str]) -> DataFrame:
+    """Blanks become underscores, but only where the result is a known name."""
+    clean_names = {c: c.replace(" ", "_") for c in df.columns}
+    return df.withColumnsRenamed({old: new for old, new in clean_names.items() if new in known})
+
+
 def prune_unused(df: DataFrame) -> DataFrame:
     return df.drop(*vocab.UNUSED_COLUMNS)
 
 
 def lower_all(df: DataFrame) -> DataFrame:
     return lower_text(df)
-
-
-def chain(df: DataFrame, *steps) -> DataFrame:
-    return reduce(lambda acc, step: step(acc), steps, df)

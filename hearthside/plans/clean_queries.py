@@ -9,6 +9,7 @@ from hearthside.functions.truth import either, text_to_boolean
 from hearthside.operators import clean, gaps, quality
 from hearthside.plans.fixture import COMPOUND_SQL, listings, text_listings
 from hearthside.plans.registry import KEY, query
+from hearthside.session import cut_lineage
 
 _GAPPY = """, g AS (SELECT row_key, furnished, finish_truth, nullif(area_sqm, 0) AS area_sqm, nullif(bedrooms, 0) AS bedrooms,
     CASE WHEN part_no % 3 = 0 THEN city END AS city, price_numeric, bathrooms FROM listings_fx)"""
@@ -198,6 +199,14 @@ def ratio_features(spark, sf_dir):
     )
 
 
+@query("renamed_columns", "SELECT row_key AS \"Row\", city AS \"City\", bedrooms AS \"Beds_Total\", bathrooms AS \"Bath Rooms\" FROM listings_fx")
+def renamed_columns(spark, sf_dir):
+    """Report names first, then underscores only for names the reader of the table knows."""
+    df = listings(spark, sf_dir).select("row_key", "city", "bedrooms", "bathrooms")
+    shown = clean.renamed(df, {"row_key": "Row", "city": "City", "bedrooms": "Beds Total", "bathrooms": "Bath Rooms"})
+    return clean.underscored(shown, ["Beds_Total", "Row"])
+
+
 @query("typed_columns", "SELECT price_numeric, area_sqm, bedrooms, bathrooms FROM listings_fx")
 def typed_columns(spark, sf_dir):
     df = listings(spark, sf_dir).select("row_key", "city", "price_numeric", "area_sqm", "bedrooms", "bathrooms")
@@ -228,10 +237,15 @@ def flags_merged(spark, sf_dir):
     return merged.select("row_key", "Pool", "Private Garden", "Elevator", "Security", "Covered Parking", "roof")
 
 
+def enriched(spark, sf_dir):
+    """The first extraction pass, stored as it would be: later passes read only what they need."""
+    df = text_listings(spark, sf_dir).select("row_key", "title", "description", "price_numeric")
+    return cut_lineage(enrich(df))
+
+
 @query("gap_rows", f"SELECT row_key FROM listings_fx WHERE finish_truth IS NULL OR ({COMPOUND_SQL}) IS NULL")
 def gap_rows(spark, sf_dir):
-    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description"))
-    return gaps.rows_with_gaps(df).select("row_key")
+    return gaps.rows_with_gaps(enriched(spark, sf_dir)).select("row_key")
 
 
 @query(
@@ -239,7 +253,7 @@ def gap_rows(spark, sf_dir):
     f"SELECT row_key FROM listings_fx WHERE (finish_truth IS NULL OR ({COMPOUND_SQL}) IS NULL) AND row_key NOT IN (SELECT row_key FROM listings_fx WHERE order_no % 4 = 0)",
 )
 def gap_rows_left(spark, sf_dir):
-    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description"))
+    df = enriched(spark, sf_dir)
     done = listings(spark, sf_dir).where("order_no % 4 = 0").select("row_key")
     return gaps.not_yet_done(gaps.rows_with_gaps(df), done, "row_key").select("row_key")
 
@@ -251,14 +265,13 @@ _BATCHES = f""", gap AS (SELECT * FROM listings_fx WHERE finish_truth IS NULL OR
       string_agg(concat('=== Listing ', position + 1, ' ===', chr(10), substr(concat(title, chr(10), description), 1, 800)), concat(chr(10), chr(10)) ORDER BY position)) AS prompt FROM b GROUP BY batch)"""
 
 
-def _gap_batches(spark, sf_dir):
-    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description", "price_numeric"))
+def _gap_batches(df):
     return gaps.request_texts(gaps.rows_with_gaps(df), "row_key", KEY)
 
 
 @query("prompt_batches", _BATCHES + "SELECT batch, n, prompt FROM p")
 def prompt_batches(spark, sf_dir):
-    return _gap_batches(spark, sf_dir).select("batch", "n", "prompt")
+    return _gap_batches(enriched(spark, sf_dir)).select("batch", "n", "prompt")
 
 
 @query(
@@ -271,8 +284,8 @@ def prompt_batches(spark, sf_dir):
 )
 def reply_merge(spark, sf_dir):
     """Replies made from the requests: some broken, some with too few items, some lone objects."""
-    df = enrich(text_listings(spark, sf_dir).select("row_key", "title", "description", "price_numeric"))
-    requests = _gap_batches(spark, sf_dir)
+    df = enriched(spark, sf_dir)
+    requests = _gap_batches(df)
     items = F.transform(
         F.sequence(F.lit(0), F.col("n") - 1),
         lambda i: F.concat(F.lit('{"finish_type": "lux", "compound_name": "Compound '), i.cast("string"), F.lit('"}')),

@@ -7,6 +7,8 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_settled: list[DataFrame] = []
+
 
 def build_session(app: str = "hearthside", master: str | None = None, **conf) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC time.
@@ -80,4 +82,13 @@ def settle(df: DataFrame) -> DataFrame:
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
+    _settled.append(kept)
     return kept
+
+
+def release() -> int:
+    """Free the summaries kept so far, once the results that use them are written."""
+    freed = len(_settled)
+    while _settled:
+        _settled.pop().unpersist()
+    return freed

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthside import schemas, vocab
-from hearthside.session import build_session, ensure_checkpoint_dir
+from hearthside.session import build_session, ensure_checkpoint_dir, release, settle
 from hearthside.sources import readers, writers
 
 
@@ -85,3 +85,10 @@ def test_session_and_checkpoint_folder(spark):
     assert build_session().sparkContext is spark.sparkContext
     ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_settled_summaries_are_released(spark):
+    release()
+    kept = settle(spark.range(5))
+    assert kept.storageLevel.useMemory and release() == 1 and release() == 0
+    assert not kept.storageLevel.useMemory
