@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from hearthside.llm.exact_dedup import exact_groups
 from hearthside.llm.packing import Limits, pack
+from hearthside.llm.pseudonyms import pseudonymise
 from hearthside.llm.registry import query, table
 
 
@@ -32,3 +33,8 @@ def op10_packing(spark, sf_dir):
     return packed.select(
         "doc_id", "start", "length", crc.alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op7_pseudonyms")
+def op7_pseudonyms(spark, sf_dir):
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="placeholder key, not secret")
