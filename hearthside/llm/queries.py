@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from hearthside.llm import toxicity
 from hearthside.llm.exact_dedup import exact_groups
 from hearthside.llm.packing import Limits, pack
 from hearthside.llm.pseudonyms import pseudonymise
@@ -38,3 +39,16 @@ def op10_packing(spark, sf_dir):
 @query("op7_pseudonyms")
 def op7_pseudonyms(spark, sf_dir):
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="placeholder key, not secret")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.fit(docs, toxicity.learnable(table(spark, sf_dir, "labels")))
+    # the score takes the text alone; the id only passes through
+    return toxicity.score(docs, machine).select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
