@@ -7,6 +7,9 @@ from hearthside.llm.exact_dedup import exact_groups
 from hearthside.llm.packing import Limits, pack
 from hearthside.llm.pseudonyms import pseudonymise
 from hearthside.llm.registry import query, table
+from hearthside.llm.url_filter import judge
+from hearthside.llm.warc import read_archive, write_archive
+from hearthside.session import shared_folder
 
 
 @query(
@@ -52,3 +55,28 @@ def op6_toxicity(spark, sf_dir):
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark, sf_dir):
+    return judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@query(
+    "op9_warc",
+    """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to, true AS verified
+FROM d
+""",
+)
+def op9_warc(spark, sf_dir):
+    folder = shared_folder(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages"), folder, roll_bytes=8 << 20)
+    return read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
