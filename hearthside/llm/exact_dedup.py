@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthside.llm.common import parts, row_id, stored
+from hearthside.llm.common import LAST_ID, parts, row_id, stored
 
 RUN = "slice int, node long, digest string, check long, keep long, size long"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -87,14 +87,11 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     slices = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int")
     runs = digests.groupBy("block", "digest", "check").agg(F.min("id").alias("keep"), F.count("*").alias("size"))
     last = digests.agg(F.max("block")).first()[0]
-    if last is None:
-        top = runs.select(slices.alias("slice"), F.col("block").alias("node"), "digest", "check", "keep", "size")
-    else:
-        first = runs.select(slices.alias("slice"), F.col("block").alias("node"), "digest", "check", "keep", "size")
-        top = tree_merge(first, last + 1, fan_in)
+    first = runs.select(slices.alias("slice"), F.col("block").alias("node"), "digest", "check", "keep", "size")
+    top = tree_merge(first, 0 if last is None else last + 1, fan_in)
     answers = runs.select("block", "digest", "check").join(top.select("digest", "check", "keep", "size"), ["digest", "check"])
-    real = F.when(F.col("id") != F.lit(2**63 - 1), F.col("id"))
-    keep = F.when(F.col("keep") != F.lit(2**63 - 1), F.col("keep"))
+    real = F.when(F.col("id") != F.lit(LAST_ID), F.col("id"))
+    keep = F.when(F.col("keep") != F.lit(LAST_ID), F.col("keep"))
     return digests.join(answers, ["block", "digest", "check"]).select(
         real.alias("doc_id"),
         keep.alias("keep_id"),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from hearthside.llm import toxicity
 from hearthside.llm.exact_dedup import exact_groups
+from hearthside.llm.minhash import near_groups
 from hearthside.llm.packing import Limits, pack
 from hearthside.llm.pseudonyms import pseudonymise
 from hearthside.llm.registry import query, table
@@ -80,3 +81,20 @@ def op9_warc(spark, sf_dir):
     folder = shared_folder(spark, "warc")
     write_archive(table(spark, sf_dir, "pages"), folder, roll_bytes=8 << 20)
     return read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
+
+
+@query(
+    "op4_minhash",
+    r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) = 1 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+      AND 10 * a.n >= 8 * b.n AND 10 * b.n >= 8 * a.n GROUP BY ALL),
+l AS (SELECT a, b FROM i WHERE 100 * c >= 80 * (na + nb - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept FROM s JOIN r ON s.doc_id = r.a GROUP BY s.doc_id, len(s.s)
+""",
+)
+def op4_minhash(spark, sf_dir):
+    return near_groups(table(spark, sf_dir, "documents"), size=2, percent=80)

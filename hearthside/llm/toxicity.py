@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from hearthside.llm.common import MIX, cuts, mixed, stored, text_bytes, unpacked, word_names
+from hearthside.llm.common import MIX, mixed, stored, text_bytes, unpacked, word_names
 
 BITS = 26
 STEM = 5  # bytes of a word's beginning
