@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hearthside.llm import toxicity
+from hearthside.llm import recompression, suffix_dedup, toxicity
 from hearthside.llm.exact_dedup import exact_groups
 from hearthside.llm.minhash import near_groups
 from hearthside.llm.packing import Limits, pack
@@ -98,3 +98,36 @@ SELECT s.doc_id, len(s.s) AS n_shingles, min(r.b) AS component_id, s.doc_id = mi
 )
 def op4_minhash(spark, sf_dir):
     return near_groups(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@query(
+    "op1_suffix_array",
+    """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+w AS (SELECT doc_id, i, t[i + 1:i + 1] AS c, CASE WHEN i + 50 <= octet_length(t) THEN t[i + 1:i + 50] END AS s FROM (SELECT doc_id, t, unnest(range(octet_length(t))) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS first FROM w WHERE s IS NOT NULL GROUP BY s),
+g AS (SELECT w.doc_id, i, c, max(CASE WHEN first < w.doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY w.doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM w LEFT JOIN f ON w.s = f.s),
+r AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM g),
+a AS (SELECT doc_id, sum(gone) AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans, string_agg(hex(c), '' ORDER BY i) FILTER (gone = 0) AS kept FROM r GROUP BY doc_id)
+SELECT d.doc_id, octet_length(t) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN a ON d.doc_id = a.doc_id
+""",
+)
+def op1_suffix_array(spark, sf_dir):
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50))
+
+
+@query(
+    "op3_recompression",
+    r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+w AS (SELECT doc_id, i, w[i] AS c, CASE WHEN i + 12 <= len(w) THEN array_to_string(w[i:i + 12], ' ') END AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS first FROM w WHERE s IS NOT NULL GROUP BY s),
+g AS (SELECT w.doc_id, i, c, max(CASE WHEN first < w.doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY w.doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM w LEFT JOIN f ON w.s = f.s),
+a AS (SELECT doc_id, sum(gone) AS n_removed, string_agg(c, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM g GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a ON d.doc_id = a.doc_id
+""",
+)
+def op3_recompression(spark, sf_dir):
+    return recompression.digests(recompression.remove_repeats(table(spark, sf_dir, "documents"), size=13))
