@@ -89,17 +89,28 @@ with np.errstate(over="ignore"):
 
 def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word ``[^\\x20\\x09-\\x0D]+``; rows never run into each other."""
-    n = len(buf)
+    return _stretches(~_SPACE[buf], offsets)
+
+
+def _stretches(mine: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(mine)
     edge = np.zeros(n + 2, bool)
-    edge[1 : n + 1] = ~_SPACE[buf]
-    row_start = np.zeros(n + 1, bool)
+    edge[1 : n + 1] = mine
+    row_start, row_end = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
     row_start[offsets[:-1]] = True
-    first = np.flatnonzero(edge[1 : n + 1] & (~edge[:n] | row_start[:n]))
-    row_end = np.zeros(n + 1, bool)
     row_end[offsets[1:]] = True
+    first = np.flatnonzero(edge[1 : n + 1] & (~edge[:n] | row_start[:n]))
     last = np.flatnonzero(edge[1 : n + 1] & (~edge[2:] | row_end[1 : n + 1])) + 1
-    rows = np.searchsorted(offsets, first, side="right") - 1
-    return first, last, rows
+    return first, last, np.searchsorted(offsets, first, side="right") - 1
+
+
+_PART = np.ones(256, bool)
+_PART[[c for c in range(128) if not chr(c).isalnum()]] = False
+
+
+def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of the runs of letters, digits and bytes above 127."""
+    return _stretches(_PART[buf], offsets)
 
 
 def word_names(buf: np.ndarray, first: np.ndarray, last: np.ndarray, lower: bool = False) -> np.ndarray:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from hearthside.llm import recompression, suffix_dedup, toxicity
+from hearthside.llm.decontaminate import find_leaks
 from hearthside.llm.exact_dedup import exact_groups
 from hearthside.llm.minhash import near_groups
 from hearthside.llm.packing import Limits, pack
@@ -131,3 +132,8 @@ FROM d LEFT JOIN a ON d.doc_id = a.doc_id
 )
 def op3_recompression(spark, sf_dir):
     return recompression.digests(recompression.remove_repeats(table(spark, sf_dir, "documents"), size=13))
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

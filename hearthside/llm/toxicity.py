@@ -15,32 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from hearthside.llm.common import MIX, mixed, stored, text_bytes, unpacked, word_names
+from hearthside.llm.common import MIX, mixed, stored, text_bytes, tokens, unpacked, word_names
 
 BITS = 26
 STEM = 5  # bytes of a word's beginning
-_PART = np.ones(256, bool)
-_PART[list(b"".join(bytes([c]) for c in range(128) if not chr(c).isalnum()))] = False
 _SLICES = 16
 
 
-def _tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of the runs of letters, digits and bytes above 127."""
-    n = len(buf)
-    inside = np.zeros(n + 2, bool)
-    inside[1 : n + 1] = _PART[buf]
-    begins, ends = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
-    begins[offsets[:-1]] = True
-    ends[offsets[1:]] = True
-    first = np.flatnonzero(inside[1 : n + 1] & (~inside[:n] | begins[:n]))
-    last = np.flatnonzero(inside[1 : n + 1] & (~inside[2:] | ends[1 : n + 1])) + 1
-    return first, last, np.searchsorted(offsets, first, side="right") - 1
-
-
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, hashed term), sorted and distinct, of whole texts; null and empty texts have none."""
     buf, offsets = text_bytes(column)
-    first, last, rows = _tokens(buf, offsets)
+    first, last, rows = tokens(buf, offsets)
     whole = word_names(buf, first, last, lower=True)
     long = last - first > STEM
     stem = mixed(word_names(buf, first[long], first[long] + STEM, lower=True) ^ MIX[0])
