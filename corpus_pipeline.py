@@ -1,34 +1,63 @@
-"""From raw documents to packed training sequences, in stages."""
+"""From raw documents to packed training sequences, in stages.
+
+Each stage reads what its predecessor kept and returns the columns of documents, the last one the pieces of sequences.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from hearthside.llm import toxicity
+from hearthside.llm.common import stored
+from hearthside.llm.decontaminate import without_leaks
 from hearthside.llm.exact_dedup import exact_groups
+from hearthside.llm.minhash import near_groups
 from hearthside.llm.packing import pack
 from hearthside.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject; it learns from the labelled ones among them."""
+    labels = toxicity.learnable(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs.select(COLUMNS), toxicity.fit(docs, labels))
+    return scored.where("toxicity < 0.5").select(COLUMNS)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
-    stay = exact_groups(docs).where("kept").select("doc_id")
-    return docs.join(stay, "doc_id", "left_semi").select(COLUMNS)
+    """Of equal texts the document with the smallest id."""
+    stay = exact_groups(docs).where("kept").select("doc_id").distinct()
+    return docs.join(stay, docs.doc_id.eqNullSafe(stay.doc_id), "left_semi").select(COLUMNS)
+
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near-duplicates (five-word shingles, similarity 0.8 or more)."""
+    stay = near_groups(docs, size=5, percent=80).where("kept").select("doc_id").distinct()
+    return docs.join(stay, docs.doc_id.eqNullSafe(stay.doc_id), "left_semi").select(COLUMNS)
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, cut and placed into sequences of at most 2048 tokens; the ids are in ``ids``."""
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, cut and placed into sequences of at most 2048 tokens; ``ids`` holds the piece's token ids."""
     return pack(docs, tokenizer_path())
 
 
-STAGES = [("exact dedup", exact), ("packing", packing)]
+STAGES = [
+    ("toxicity", clean),
+    ("exact dedup", exact),
+    ("MinHash near-dedup", near),
+    ("benchmark decontamination", decontaminated),
+    ("packing", packed),
+]
 
+# learned scores, MinHash candidates and token ids have no SQL; tests/llm/test_pipeline.py checks every stage
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from hearthside.llm.common import stored
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
