@@ -7,8 +7,10 @@ packs the rows of its own partition while it tokenizes them: no row is shuffled,
 its own rows. Items wait in a window of bounded size, so memory does not grow with the partition.
 """
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 import re
 import zlib
 
@@ -30,54 +32,86 @@ class Limits:
     tokens: int = 2048
     segments: int = 256
     loss_tokens: int = 2048
-    window: int = 2048
+    window: int = 1024
 
 
 class WordIds(dict):
-    """Ids of pieces of text by piece; a piece is encoded when first seen. It holds a bounded number of pieces."""
+    """Ids of pieces of text by piece, each with ``lead`` before it; a piece is encoded when first seen.
 
-    ROOM = 400_000
+    A piece of letters alone is one token of the byte-level pattern, so the merges can be run on it directly. The
+    number of pieces held is bounded.
+    """
+
+    ROOM = 1_000_000
+
+    def __init__(self, path: str, lead: str = ""):
+        import json
 
-    def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
+        self.lead = lead
         self.tokenizer = Tokenizer.from_file(path)
+        model = json.loads(Path(path).read_text())["model"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.merges = BPE(model["vocab"], pairs, cache_capacity=0)
+        letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+        spelled = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.table = {ord(c): spelled(c)[0][0] for c in [*letters, " "]}
+        self.plain = re.compile(f"[{''.join(letters)}]+")
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.ROOM:
             self.clear()
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, np.uint32).tobytes()
+        if self.plain.fullmatch(piece):
+            ids = [t.id for t in self.merges.tokenize((self.lead + piece).translate(self.table))]
+        elif piece[-1:] in ",." and self.plain.fullmatch(piece[:-1]):
+            ids = self.tokenizer.encode(piece[-1], add_special_tokens=False).ids
+            ids = np.frombuffer(self[piece[:-1]], np.uint32).tolist() + ids
+        else:
+            ids = self.tokenizer.encode(self.lead + piece, add_special_tokens=False).ids
+        raw = array("I", ids).tobytes()
         if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+            self[piece] = raw
+        return raw
+
 
+class TextIds:
+    """Ids of whole texts. One space or line feed between other characters always ends a token of the byte-level
+    pattern, so a text is cut there and its ids are those of the cuts end to end."""
 
-# a space with text on both sides always begins a new token of the byte-level pattern, so a text may be cut before it
-_ODD = re.compile(r"\s |^ | $| (?=\s)")
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+    _CUT = re.compile(r"(?<=\S)(?= \S)")
+    _DOUBLE = ("  ", " \n", "\n ", "\n\n")
 
+    def __init__(self, path: str):
+        self.bare, self.spaced = WordIds(path), WordIds(path, " ")
 
-def pieces_of(text: str) -> list[str]:
-    """``text`` cut where no token can span; its ids are those of the pieces end to end."""
-    if _ODD.search(text):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + x for x in rest]] if rest else [first]
+    def __call__(self, text: str) -> bytes:
+        ends = text[:1] + text[-1:]
+        if any(x in text for x in self._DOUBLE) or " " in ends or "\n" in ends or not text.replace("\n", "").isprintable():
+            return b"".join([self.bare[x] for x in self._CUT.split(text)])
+        bare, spaced, feed = self.bare, self.spaced.__getitem__, self.bare["\n"]
+        out = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(feed)
+            out.append(bare[first])
+            out.extend(map(spaced, rest))
+        return b"".join(out[1:])
 
 
-_TOKENIZERS: dict[str, WordIds] = {}
+_TOKENIZERS: dict[str, TextIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
+def text_ids(path: str) -> TextIds:
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordIds(path)
+        _TOKENIZERS[path] = TextIds(path)
     return _TOKENIZERS[path]
 
 
-def encoded(text: str | None, known: WordIds, end_id: int) -> np.ndarray:
+def encoded(text: str | None, known: TextIds, end_id: int) -> np.ndarray:
     """The ids of a whole text, and the end id after them."""
-    ids = b"".join([known[x] for x in pieces_of(text)]) if text else b""
-    return np.frombuffer(ids + np.uint32(end_id).tobytes(), np.uint32)
+    return np.frombuffer((known(text) if text else b"") + np.uint32(end_id).tobytes(), np.uint32)
 
 
 class Packer:
@@ -108,8 +142,10 @@ class Packer:
     def place(self, lengths: np.ndarray, loss: list[np.ndarray | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """``loss``: per item a mask of its loss-bearing tokens (None: all are)."""
         starts = np.zeros(len(lengths), np.int64)
-        left = np.array([[n, 1, n if m is None else m.sum()] for n, m in zip(lengths, loss)], float).reshape(-1, 3)
-        alive = np.ones(len(lengths), bool)
+        tokens = np.asarray(lengths, float).copy()
+        cost = np.array([n if m is None else m.sum() for n, m in zip(lengths, loss)], float)
+        waiting = int((tokens > 0).sum())
+        tokens[tokens == 0] = np.inf  # placed
 
         def loss_of(i: int, start: int, length: int) -> int:
             return length if loss[i] is None else int(loss[i][start : start + length].sum())
@@ -123,25 +159,29 @@ class Packer:
                 return n
             return int(np.searchsorted(np.cumsum(loss[i][starts[i] : starts[i] + n]), self.room[2], side="right"))
 
-        while alive.any():
+        while waiting:
             if self.sequence is None:
                 self.open()
-            fits = alive & (left <= self.room).all(axis=1)
-            if fits.any():
-                score = left @ (self.room / self.full**2)
-                i = int(np.argmax(np.where(fits, score, -1)))
-                n = int(left[i, 0])
+            a, _, c = self.room / self.full**2  # one segment counts the same for every item
+            score = tokens * a + cost * c
+            score[(tokens > self.room[0]) | (cost > self.room[2])] = -1
+            i = int(np.argmax(score))
+            if score[i] >= 0:
+                n = int(tokens[i])
             else:
-                i = int(np.argmax(np.where(alive, left[:, 0], -1)))
+                i = int(np.argmax(np.where(tokens == np.inf, -1, tokens)))
                 n = longest(i)
                 if n < 1:
                     self.sequence = None  # no room for a loss-bearing token: close it
                     continue
-            start, cost = int(starts[i]), loss_of(i, starts[i], n)
-            yield self.put(i, start, n, cost)
+            start, spent = int(starts[i]), loss_of(i, starts[i], n)
+            yield self.put(i, start, n, spent)
             starts[i] += n
-            left[i] -= (n, 0, cost)
-            alive[i] = left[i, 0] > 0
+            tokens[i] -= n
+            cost[i] -= spent
+            if tokens[i] == 0:
+                tokens[i] = np.inf
+                waiting -= 1
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, limits: Limits = Limits(), keep_ids: bool = True) -> DataFrame:
@@ -162,7 +202,7 @@ def pack_conversations(turns: DataFrame, tokenizer_path: str, end_id: int = 1, l
 
 def _packed(rows, tokenizer_path, end_id, limits, keep_ids, loss_column):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = word_ids(tokenizer_path)
+        known = text_ids(tokenizer_path)
         packer = Packer(limits, TaskContext.get().partitionId() << 32)
         waiting, held = [], 0
         for batch in batches:
