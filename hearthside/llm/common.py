@@ -1,5 +1,6 @@
 """Helpers that the corpus operators share: stored tables, Arrow text as numpy bytes, word hashes, packed rows."""
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -67,6 +68,20 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``size`` bytes of text (a longer text is a slice of its own), without a copy.
+
+    Arrays per byte or word of a slice then stay small, whatever the number of rows in a batch.
+    """
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(column))
+        a = 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + size, side="right")) - 1)
+            yield batch.slice(a, b - a)
+            a = b
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit integers."""
     x = x ^ (x >> np.uint64(30))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthside.llm.common import stored, text_bytes, tokens, word_names
+from hearthside.llm.common import slices, stored, text_bytes, tokens, word_names
 
 WINDOW, STRIDE = 64, 32
 HITS = "doc_id long, item_id long, first_word long, cosine double, lcs double, answer double"
@@ -143,7 +143,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, seen = np.zeros(len(vocabulary), np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             _, rows, _, hit, at = _windows(batch.column(1), vocabulary)
             pairs = np.unique(rows[hit].astype(np.int64) * len(vocabulary) + at)
             count += np.bincount(pairs % max(1, len(vocabulary)), minlength=len(vocabulary))
@@ -244,7 +244,7 @@ def find_leaks(
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = sent.value
-            for batch in batches:
+            for batch in slices(batches):
                 hits = [h for h in search(batch.column(1), model, cosine, share, least) if h[5] >= answer]
                 ids = batch.column(0)
                 cols = [

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthside.llm.common import LAST_ID, MIX, mixed, row_id, stored, text_bytes, word_names, words
+from hearthside.llm.common import LAST_ID, MIX, mixed, row_id, slices, stored, text_bytes, word_names, words
 from hearthside.llm.components import components
 
 HASHES, BANDS, BITS = 128, 32, 8
@@ -64,7 +64,7 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         at, keys = shingle_sets(batch.column(1), size)
         n = len(at) - 1
         full = np.flatnonzero(np.diff(at))
@@ -141,7 +141,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(id, set) of the rows whose id is in ``ids``; of rows that repeat an id the one with the same set key counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at, keys = shingle_sets(batch.column(1), size)
             cells = [keys[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary())], names=["id", "set"])

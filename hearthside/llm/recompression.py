@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthside.llm.common import LAST_ID, MIX, mixed, parts, stored, text_bytes, unpacked, word_names, words
+from hearthside.llm.common import LAST_ID, MIX, mixed, parts, slices, stored, text_bytes, unpacked, word_names, words
 from hearthside.llm.common import cuts
 from hearthside.llm.exchange import REPLY, SENT, among, blocked, bucket_of, lowest, of_kind, replies, sent, shared_names
 
@@ -115,7 +115,7 @@ class Sequence:
 
 
 def _send(batches: Iterator[pa.RecordBatch], size: int, n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         text = Sequence(batch.column(1), size)
         label = text.labels()
         rows = text.rows[text.places]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from hearthside.llm.common import MIX, mixed, stored, text_bytes, tokens, unpacked, word_names
+from hearthside.llm.common import MIX, mixed, slices, stored, text_bytes, tokens, unpacked, word_names
 
 BITS = 26
 STEM = 5  # bytes of a word's beginning
@@ -113,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, max_terms: i
     sample = known.where("y = y2").select("doc_id", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, hashed = terms(batch.column(1))
             at = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             packed = [hashed[a:b].astype(np.int32).tobytes() for a, b in zip(at[:-1], at[1:])]
@@ -180,9 +180,9 @@ def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
     """Every row and column of ``docs`` with ``toxicity`` (0 to 1). Null and empty texts have the score of no term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
+        for batch in slices(batches, at):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(machine.score(batch.column(at)))], names=[*batch.schema.names, "toxicity"])
 
     docs = docs.drop("toxicity")
+    at = docs.columns.index("text")
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("toxicity", DoubleType())]))
