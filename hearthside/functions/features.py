@@ -74,22 +74,6 @@ def one_hot(df: DataFrame, domains: dict[str, list[str]] = vocab.ONE_HOT_VALUES)
     return df.withColumns(made).drop(*domains)
 
 
-def domains_of(df: DataFrame, columns: list[str], limit: int = 1000) -> dict[str, list[str]]:
-    """Distinct non-null values per column, for columns that become one-hot flags.
-
-    A domain turns into columns, so it has to be small: more than ``limit`` values
-    is an error instead of a silent cut.
-    """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), _c(c).cast("string").alias("value")) for c in columns]))
-    rows = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values in {columns}")
-    found = {c: [] for c in columns}
-    for row in rows:
-        found[row["name"]].append(row["value"])
-    return {c: sorted(v) for c, v in found.items()}
-
-
 def engineer(df: DataFrame, area: str = "area_sqm") -> DataFrame:
     return df.withColumns(
         {

@@ -19,13 +19,18 @@ def not_yet_done(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
-def request_texts(df: DataFrame, key: str, order_by: list, size: int = vocab.REQUEST_BATCH) -> DataFrame:
-    """One row per batch: ``batch, keys, n, prompt``. A batch holds at most ``size`` rows."""
+def request_texts(
+    df: DataFrame, key: str, order_by: list, size: int = vocab.REQUEST_BATCH, chars: int | None = vocab.REQUEST_TEXT_CHARS
+) -> DataFrame:
+    """One row per batch: ``batch, keys, n, prompt``. A batch holds at most ``size`` rows.
+
+    Of each text the first ``chars`` characters are sent, as the published prompt does; None sends whole texts.
+    """
     numbered = batches(df, order_by, size)
     text = F.concat(
         F.coalesce(F.col("title"), F.lit("")), F.lit("\n"), F.coalesce(F.col("description"), F.lit(""))
     )
-    body = F.substring(strip(text), 1, vocab.REQUEST_TEXT_CHARS)
+    body = strip(text) if chars is None else F.substring(strip(text), 1, chars)
     head, tail = vocab.REQUEST_BLOCK.split("{i}")
     block = F.concat(F.lit(head), (F.col("position") + 1).cast("string"), F.lit(tail), body)
     grouped = numbered.select("batch", "position", F.col(key).alias("key"), block.alias("block")).groupBy("batch")

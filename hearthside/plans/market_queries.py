@@ -141,9 +141,9 @@ def heat_points(spark, sf_dir):
     return market.heat_points(listings(spark, sf_dir), "row_key")
 
 
-@query("map_centre", _SAMPLE + "SELECT round(median(latitude), 8) AS latitude, round(median(longitude), 8) AS longitude FROM s")
+@query("map_centre", "SELECT round(median(latitude), 8) AS latitude, round(median(longitude), 8) AS longitude FROM listings_fx WHERE area_sqm > 0")
 def map_centre(spark, sf_dir):
-    found = market.map_centre(market.heat_points(listings(spark, sf_dir), "row_key"))
+    found = market.map_centre(market.on_map(listings(spark, sf_dir)))
     return found.withColumns({c: F.round(c, 8) for c in ("latitude", "longitude")})
 
 

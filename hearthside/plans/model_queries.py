@@ -234,6 +234,5 @@ def scored_requests(spark, sf_dir):
     """Requests rebuilt from the search table, scored, and judged against the asking price."""
     table = processed(spark, sf_dir)
     fitted, _ = train_price_model(table, "row_key", **_SMALL)
-    scores = fitted.score(deals.request_rows(table), "row_key")
-    priced = table.select("row_key", "price_numeric").join(scores, "row_key")
+    priced = fitted.score(deals.request_rows(table), "row_key", "price_numeric")
     return deals.with_verdict(priced, "Prediction").select("row_key", F.round("Prediction", 4).alias("Prediction"), "Currency", "verdict")

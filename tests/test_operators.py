@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthside import vocab
-from hearthside.functions.features import domains_of, one_hot
+from hearthside.functions.features import one_hot
 from hearthside.operators import clean, deals, gaps, ledger, market, quality, search
 from hearthside.operators.sequence import batches, contiguous_id, first_per_key
 
@@ -192,14 +192,11 @@ def test_cleaning_steps(spark):
     assert clean.without_duplicates(df.union(df)).count() == 5
 
 
-def test_one_hot_sums_and_domains(spark):
+def test_one_hot_sums(spark):
     df = spark.createDataFrame([("yes",), ("NO",), ("odd",), (None,)], "furnished string")
     hot = one_hot(df, {"furnished": vocab.ONE_HOT_VALUES["furnished"]})
     sums = [sum(r) for r in hot.collect()]
     assert hot.columns == ["furnished_no", "furnished_unknown", "furnished_yes"] and sums == [1, 1, 0, 0]
-    assert domains_of(df, ["furnished"]) == {"furnished": ["NO", "odd", "yes"]}
-    with pytest.raises(ValueError):
-        domains_of(df, ["furnished"], limit=2)
 
 
 def test_coverage_counts_zero_as_missing(spark):
