@@ -8,6 +8,7 @@ from hearthside.plans import (  # noqa: F401
     model_queries,
     page_queries,
     search_queries,
+    source_queries,
     text_queries,
 )
 from hearthside.plans.registry import ORACLES, QUERIES
