@@ -20,7 +20,7 @@ HEADLINE = [
     "search_filtered", "search_paged", "search_options", "search_option_bounds", "dedup_first", "dedup_rows", "search_table_ids",
     "verdicts", "deal_rank", "compare_norm", "extracted_english", "extracted_arabic", "delivery_months", "coverage_report",
     "null_report", "fill_mean", "outlier_iqr", "one_hot", "ratio_features", "prompt_batches", "page_text", "page_links",
-    "text_clean", "target_encoded", "standard_scaled", "regression_metrics", "incremental_ingest",
+    "page_record", "resumed_ingest", "stateful_ingest", "csv_round_trip", "map_centre", "text_clean", "target_encoded", "standard_scaled", "regression_metrics", "incremental_ingest",
 ]
 
 

@@ -4,9 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_module
 from hearthside.operators import search
-from hearthside.operators.deals import with_coordinates
+from hearthside.operators.deals import normalise_to_max, with_coordinates
+from hearthside.operators.encode import fit_target_encoding
+from hearthside.plans.catalog import QUERIES
 from hearthside.plans.fixture import listings
 from hearthside.plans.search_queries import search_table
 from hearthside.sources.writers import save_search_table
@@ -64,10 +65,23 @@ def test_small_lookup_is_broadcast_by_size(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-CHEAP = [n for n in sorted(entry_module.queries()) if n not in ("stacked_scores", "tuned_model", "leaderboard", "linear_scores", "gbt_scores", "importances", "scored_requests", "prepared_listings") and not n.endswith("_ingest")]
+CHEAP = [n for n in sorted(QUERIES) if n not in ("stacked_scores", "tuned_model", "leaderboard", "linear_scores", "gbt_scores", "importances", "scored_requests", "prepared_listings") and not n.endswith("_ingest")]
 
 
 @pytest.mark.parametrize("name", CHEAP)
 def test_no_cross_joins(spark, sf_dir, name):
-    text = plan(entry_module.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_one_large_column_does_not_widen_the_joins_of_small_ones(spark):
+    """400,000 sellers: the region's codes are still broadcast."""
+    df = spark.range(400_000).selectExpr("cast(id % 5 as string) governorate", "cast(id as string) seller_name", "cast(id % 7 as double) target")
+    coded = fit_target_encoding(df, ["governorate", "seller_name"]).apply(df)
+    assert plan(coded).count("BroadcastHashJoin LeftOuter") >= 1
+
+
+def test_rows_without_a_compare_set_are_one_set(spark):
+    df = spark.createDataFrame([(None, 4.0), (None, 8.0), ("a", 5.0)], "place string, price_numeric double")
+    found = normalise_to_max(df, "place", ["price_numeric"])
+    assert sorted(r["price_numeric_pct"] for r in found.collect()) == [50.0, 100.0, 100.0]
