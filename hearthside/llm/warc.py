@@ -72,8 +72,8 @@ def _gzip(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def with_references(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
-    """``pages`` (row id, url, payload) with ``refers_to``: the smallest id with an equal payload, null for that row.
+def references(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
+    """(_id, digest, first) of the rows (_id, payload) whose payload also occurs under a smaller id, ``first``.
 
     Payloads under ``revisit_from`` bytes never refer. Equal means equal SHA-256 and length. Digests are gathered per
     input block first, so a payload that a third of all rows share is one row of each block.
@@ -85,8 +85,7 @@ def with_references(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
     inner = marks.where(F.col("n") >= revisit_from).groupBy("block", "digest", "n").agg(F.min("_id").alias("first"))
     whole = inner.groupBy("digest", "n").agg(F.min("first").alias("first"))
     answers = inner.drop("first").join(whole, ["digest", "n"])
-    refers = marks.join(answers, ["block", "digest", "n"]).where("_id != first").groupBy("_id").agg(F.min("first").alias("refers_to"))
-    return pages.join(refers, "_id", "left")
+    return marks.join(answers, ["block", "digest", "n"]).where("_id != first").select("_id", "digest", "first").distinct()
 
 
 def write_archive(pages: DataFrame, folder: str, roll_bytes: int = 256 << 20, revisit_from: int = 0, shards: int | None = None) -> DataFrame:
@@ -102,7 +101,11 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = 256 << 20, re
         row_id("page_id").alias("_id"), F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload"),
     )
-    ordered = with_references(rows, revisit_from).repartitionByRange(shards or parts(spark), "_id").sortWithinPartitions("_id", "url")
+    # references travel as rows of their own that sort before their pages: the payloads are shuffled once, without a join
+    empty = {"url": F.lit(None).cast("string"), "payload": F.lit(None).cast("binary"), "kind": F.lit(0)}
+    marks = references(rows, revisit_from).withColumns(empty)
+    both = rows.withColumns({"digest": F.lit(None).cast("string"), "first": F.lit(None).cast("long"), "kind": F.lit(1)}).unionByName(marks)
+    ordered = both.repartitionByRange(shards or parts(spark), "_id").sortWithinPartitions("_id", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, top = _place(folder)
@@ -116,8 +119,16 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = 256 << 20, re
             made[-1]["sha256"] = sums.hexdigest()
             out = None
 
+        owner, known = None, {}  # of the id at hand: the first page by digest
         for batch in batches:
-            for key, url, payload, first in zip(*(c.to_pylist() for c in batch.select(["_id", "url", "payload", "refers_to"]).columns)):
+            columns = batch.select(["_id", "url", "payload", "digest", "first"]).columns
+            for key, url, payload, digest, first in zip(*(c.to_pylist() for c in columns)):
+                if key != owner:
+                    owner, known = key, {}
+                if payload is None:
+                    known[digest] = first
+                    continue
+                first = known.get(hashlib.sha256(payload).hexdigest()) if known else None
                 if out is None:
                     place.create_dir(temporary, recursive=True)
                     name = f"part-{task.partitionId():06d}-{len(made):06d}.warc.gz"
