@@ -13,20 +13,21 @@ of bounded size, so no link between components is lost and members of one compon
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthside.llm.common import LAST_ID, MIX, mixed, row_id, slices, stored, text_bytes, word_names, words
+from hearthside.llm.common import LAST_ID, MIX, mixed, parts, row_id, slices, stored, text_bytes, word_names, words
 from hearthside.llm.components import components
 
 HASHES, BANDS, BITS = 128, 32, 8
 TILE = 512
 #: Standard errors that a pair's estimate may lie under the threshold before it goes without a full comparison.
 MARGIN = 5.5
-_A = mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * MIX[0]) | np.uint64(1)
-_B = mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * MIX[3])
+#: Lanes of the signature of sets that stay in different components after the star round.
+LONG = 512
+_A = mixed(np.arange(1, LONG + 1, dtype=np.uint64) * MIX[0]) | np.uint64(1)
+_B = mixed(np.arange(1, LONG + 1, dtype=np.uint64) * MIX[3])
 SETS = "id long, n_shingles long, set_key binary, signature binary, bands binary"
 
 
@@ -63,49 +64,56 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(owner, np.arange(n + 1)), keys
 
 
+def _minima(at: np.ndarray, keys: np.ndarray, lanes: int) -> np.ndarray:
+    """The smallest value of each of ``lanes`` hash functions over every row's set (0 for an empty set)."""
+    full = np.flatnonzero(np.diff(at))
+    starts = at[full]
+    minima = np.zeros((len(at) - 1, lanes), np.uint64)
+    step = 1 << 15
+    low = np.empty(len(keys), np.uint64)
+    for h in range(lanes if len(full) else 0):
+        for p in range(0, len(keys), step):  # in pieces that stay in the processor's cache
+            part = keys[p : p + step] * _A[h]
+            part += _B[h]
+            part ^= part >> np.uint64(32)
+            low[p : p + step] = part
+        minima[full, h] = np.minimum.reduceat(low, starts)
+    return mixed(minima)
+
+
+def _low_bits(minima: np.ndarray) -> pa.Array:
+    return pa.array([c.tobytes() for c in (minima & np.uint64((1 << BITS) - 1)).astype(np.uint8)], pa.binary())
+
+
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         at, keys = shingle_sets(batch.column(1), size)
-        n = len(at) - 1
         full = np.flatnonzero(np.diff(at))
-        minima = np.zeros((n, HASHES), np.uint64)
-        step = 1 << 15
-        starts = at[full]
-        for h in range(HASHES if len(full) else 0):
-            # in pieces that stay in the processor's cache; a set longer than a piece is folded over pieces
-            low = np.empty(len(keys), np.uint64)
-            for p in range(0, len(keys), step):
-                part = keys[p : p + step] * _A[h]
-                part += _B[h]
-                part ^= part >> np.uint64(32)
-                low[p : p + step] = part
-            minima[full, h] = np.minimum.reduceat(low, starts)
-        minima = mixed(minima)
-        signature = (minima & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+        minima = _minima(at, keys, HASHES)
+        bands = np.zeros((len(at) - 1, BANDS), np.uint64)
         rows_of = HASHES // BANDS
-        bands = np.zeros((n, BANDS), np.uint64)
         for k in range(rows_of):
             bands = mixed(bands * MIX[1] + minima[:, k::rows_of][:, :BANDS] + np.arange(BANDS, dtype=np.uint64))
-        sums = np.zeros((n, 2), np.uint64)
+        sums = np.zeros((len(at) - 1, 2), np.uint64)
         if len(full):
-            sums[full, 0] = np.add.reduceat(mixed(keys ^ MIX[0]), starts)
-            sums[full, 1] = np.add.reduceat(mixed(keys ^ MIX[3]), starts)
+            sums[full, 0] = np.add.reduceat(mixed(keys ^ MIX[0]), at[full])
+            sums[full, 1] = np.add.reduceat(mixed(keys ^ MIX[3]), at[full])
         blank = lambda cells: pa.array([c.tobytes() for c in cells], pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(at)), blank(sums), blank(signature), blank(bands)],
+            [batch.column(0), pa.array(np.diff(at)), blank(sums), _low_bits(minima), blank(bands)],
             names=[x.split()[0] for x in SETS.split(", ")],
         )
 
 
 def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Jaccard similarity from packed low bits (uint8 lanes), corrected for chance equality of lanes."""
-    equal = (x == y).mean(axis=-1)
+    equal = np.count_nonzero(x == y, axis=-1) / x.shape[-1]
     chance = 1.0 / (1 << BITS)
     return (equal - chance) / (1 - chance)
 
 
-def _least(threshold: float) -> float:
-    return threshold - MARGIN * np.sqrt(threshold * (1 - threshold) / HASHES)
+def _least(threshold: float, lanes: int = HASHES) -> float:
+    return threshold - MARGIN * np.sqrt(threshold * (1 - threshold) / lanes)
 
 
 def _estimated(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
@@ -138,15 +146,58 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, set) of the rows whose id is in ``ids``; of rows that repeat an id the one with the same set key counts."""
+    """(id, set, n, long): shingle set, its size and its long signature, of one row of each id in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             at, keys = shingle_sets(batch.column(1), size)
             cells = [keys[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary())], names=["id", "set"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(cells, pa.binary()), pa.array(np.diff(at)), _low_bits(_minima(at, keys, LONG))],
+                names=["id", "set", "n", "long"],
+            )
+
+    found = docs.join(ids, "id", "left_semi").select("id", "text").dropDuplicates(["id"])
+    return found.mapInArrow(run, "id long, set binary, n long, long binary")
 
-    return docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, set binary")
+
+def _tile_links(group: pa.Table, percent: int) -> pa.Table:
+    """Links that join components, in each tile of the group.
+
+    A pair is looked at by size, by its short and its long signature, and then by its full sets. Components that a link
+    has joined are not compared again, so a tile gives fewer links than it has sets.
+    """
+    threshold = percent / 100
+    centre, i, j, mine, ids, comp, n = (np.asarray(group[c]) for c in ("centre", "i", "j", "mine", "id", "component", "n"))
+    comp = comp.copy()
+    lanes = text_bytes(group["long"])[0].reshape(-1, LONG)
+    data, at = text_bytes(group["set"])
+    order = np.lexsort((mine, j, i, centre))
+    key = np.stack([centre[order], i[order], j[order]])
+    starts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+    links = []
+    for tile in np.split(order, starts):
+        if not len(tile) or (comp[tile] == comp[tile[0]]).all():
+            continue
+        one = i[tile[0]] == j[tile[0]]
+        left, right = (tile, tile) if one else (tile[mine[tile] == i[tile[0]]], tile[mine[tile] == j[tile[0]]])
+        for x in left:
+            fits = (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x])) & (comp[right] != comp[x])
+            y = right[fits & (ids[right] > ids[x])] if one else right[fits]
+            y = y[estimate(lanes[x, :HASHES][None, :], lanes[y, :HASHES]) >= _least(threshold)]
+            y = y[estimate(lanes[x][None, :], lanes[y]) >= _least(threshold, LONG)]
+            own = data[at[x] : at[x + 1]].view(np.uint64)
+            for z in y:
+                if comp[z] == comp[x]:
+                    continue
+                other = data[at[z] : at[z + 1]].view(np.uint64)
+                place = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                common = int(np.count_nonzero(own[place] == other))
+                if 100 * common >= percent * (len(own) + len(other) - common):
+                    links.append((min(ids[x], ids[z]), max(ids[x], ids[z])))
+                    comp[tile[comp[tile] == comp[z]]] = comp[x]
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -183,40 +234,26 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     )
     pairs = stored(_estimated(star, heads, threshold), "star-pairs")
     involved = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = stored(_full_sets(rows, involved, size).dropDuplicates(["id"]), "sets")
-    links = stored(_confirmed(pairs, sets, percent), "star-links")
+    sets = stored(_full_sets(rows, involved, size), "sets")
+    links = stored(_confirmed(pairs, sets.select("id", "set"), percent), "star-links")
     found = stored(components(links), "star-components")
 
-    # sets of one band in different components: tiles of at most TILE by TILE sets
-    placed = members.select("band", "id", "count").join(found.toDF("id", "component"), "id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "id"))
-    mixed_bands = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    open_rows = placed.join(mixed_bands.select("band"), "band", "left_semi")
+    # sets of bands with one centre that are in different components meet in tiles of at most TILE by TILE sets
+    grouped = members.join(centre, "band").select("centre", "id").distinct()
+    placed = grouped.join(found.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_groups = placed.groupBy("centre").agg(
+        F.count("*").alias("count"), F.min("component").alias("lo"), F.max("component").alias("hi")
+    ).where("lo != hi")
+    open_rows = stored(placed.join(open_groups.select("centre", "count"), "centre"), "open-rows")
+    known = sets.unionByName(stored(_full_sets(rows, open_rows.select("id").distinct().join(sets, "id", "left_anti"), size), "sets"))
     n_tiles = F.ceil(F.col("count") / TILE).cast("int")
     tiled = open_rows.withColumn("mine", F.pmod(F.xxhash64("id"), n_tiles).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), n_tiles - 1))
     )
     tiles = tiled.select(
-        "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component"
-    ).join(heads.select("id", "signature"), "id")
-
-    def compared(key, group: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        ids, comp, mine = (group[c].to_numpy() for c in ("id", "component", "mine"))
-        lanes = np.frombuffer(b"".join(group["signature"]), np.uint8).reshape(-1, HASHES)
-        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        out = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) | (i != j))]
-            y = y[estimate(lanes[x][None, :], lanes[y]) >= _least(threshold)]
-            out.append(pd.DataFrame({"a": np.minimum(ids[x], ids[y]), "b": np.maximum(ids[x], ids[y])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    rest = tiles.groupBy("band", "i", "j").applyInPandas(compared, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = stored(rest, "rest-pairs")
-    involved2 = rest.select(F.col("a").alias("id")).union(rest.select("b")).distinct().join(sets, "id", "left_anti")
-    more = stored(_full_sets(rows, involved2, size).dropDuplicates(["id"]), "sets")
-    links2 = stored(_confirmed(rest, sets.union(more), percent), "rest-links")
+        "centre", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component"
+    ).withColumn("deal", F.pmod(F.xxhash64("centre", "i", "j"), F.lit(8 * parts(docs.sparkSession)))).join(known, "id")
+    links2 = stored(tiles.groupBy("deal").applyInArrow(lambda g: _tile_links(g, percent), "a long, b long"), "rest-links")
     merged = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links2)), "components")
 
     by_set = heads.select("set_key", F.col("id").alias("node")).join(merged, "node", "left").select(
