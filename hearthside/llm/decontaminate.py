@@ -2,8 +2,9 @@
 
 Items are cut into passages of at most ``WINDOW`` words. Their TF-IDF matrix (document frequencies counted over all
 documents) gets a randomised SVD whose products are Spark joins and sums; its right vectors map words to a latent
-space. One pass over the documents projects every window of words, takes the passages with a large cosine and a large
-share of the passage's energy, and checks each by the longest common subsequence of words and of the answer, the
+space. One pass over the documents takes candidates by two routes: windows that hold a large share of the weight of a
+passage's own words, which a contained passage always meets, and windows with a large cosine in the latent space and a
+large share of the passage's energy. Each is checked by the longest common subsequence of words and of the answer, the
 passage's last sentence.
 """
 
@@ -126,6 +127,10 @@ class LatentItems:
     space: np.ndarray  # a latent row for each, weighted
     vectors: np.ndarray  # passages in the latent space
     energy: np.ndarray  # their squared length there
+    weight: np.ndarray  # of the weighted words
+    starts: np.ndarray  # where each word's passages begin in holders
+    holders: np.ndarray  # the passages with a word, word by word
+    whole: np.ndarray  # weight of the distinct weighted words of a passage
 
 
 def _windows(column, vocabulary: np.ndarray):
@@ -185,10 +190,40 @@ def latent_items(docs: DataFrame, passages: list[Passage], width: int, common: f
     vectors = np.zeros((len(passages), width), np.float32)
     for i, a, x in rows:
         vectors[i] += x * basis[a]
-    return LatentItems(passages, vocabulary, basis * weight[:, None].astype(np.float32), vectors, (vectors**2).sum(axis=1))
+    holders, held = np.array([(i, a) for i, a, _ in rows], np.int64).reshape(-1, 2).T
+    order = np.argsort(held, kind="stable")
+    return LatentItems(
+        passages, vocabulary, basis * weight[:, None].astype(np.float32), vectors, (vectors**2).sum(axis=1),
+        weight, np.searchsorted(held[order], np.arange(len(vocabulary) + 1)), holders[order],
+        np.bincount(holders, weight[held], len(passages)),
+    )
 
 
-def search(column, model: LatentItems, cosine: float, share: float, least: float):
+def _holding(blocks: np.ndarray, words: np.ndarray, n: int, model: LatentItems, present: float) -> Iterator[tuple[int, int]]:
+    """(block, passage) where the block and the two after it may hold ``present`` of the weight of the passage's words.
+
+    ``blocks`` and ``words`` are the weighted words of the text by block. A word counts once a block, so the sum over
+    three blocks is never below the weight that is there. A passage that begins in a block ends in the second after it.
+    """
+    pairs = np.unique(blocks * len(model.vocabulary) + words)
+    blocks, words = np.divmod(pairs, len(model.vocabulary))
+    width, least = len(model.passages), model.whole * present * (1 - 1e-9)
+    step = max(64, (4 << 20) // width)
+    for a in range(0, n, step):
+        i, j = np.searchsorted(blocks, (a, a + step + 2))
+        if i == j:
+            continue
+        w = words[i:j]
+        copies = model.starts[w + 1] - model.starts[w]
+        at = np.repeat(model.starts[w] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())
+        cells = np.repeat((blocks[i:j] - a) * width, copies) + model.holders[at]
+        held = np.bincount(cells, np.repeat(model.weight[w], copies), (step + 2) * width).reshape(-1, width)
+        for b, p in zip(*np.nonzero(held[:-2] + held[1:-1] + held[2:] >= least)):
+            if a + b < n:
+                yield int(a + b), int(p)
+
+
+def search(column, model: LatentItems, cosine: float, share: float, least: float, present: float):
     """(row, passage, first word, cosine, lcs, answer) of the passages found in whole texts."""
     names, rows, bounds, hit, at = _windows(column, model.vocabulary)
     if not len(hit):
@@ -197,6 +232,20 @@ def search(column, model: LatentItems, cosine: float, share: float, least: float
     n_blocks = -(-np.diff(bounds) // STRIDE)
     base = np.cumsum(n_blocks) - n_blocks
     block = base[rows[hit]] + in_row // STRIDE
+    for b, p in _holding(block, at, int(n_blocks.sum()), model, present):
+        row = int(np.searchsorted(base, b, side="right")) - 1
+        lo = int(bounds[row] + (b - base[row]) * STRIDE)
+        hi = min(int(bounds[row + 1]), lo + WINDOW + STRIDE)
+        passage, text = model.passages[p], names[lo:hi]
+        if np.isin(passage.words, text).sum() < least * len(passage.words):
+            continue
+        lcs = common_subsequence(passage.words, text) / len(passage.words)
+        if lcs < least:
+            continue
+        vector = model.space[at[slice(*np.searchsorted(hit, (lo, hi)))]].sum(axis=0)
+        alike = vector @ model.vectors[p] / max(1e-9, float(np.linalg.norm(vector)) * float(np.sqrt(model.energy[p])))
+        answer = passage.words[passage.answer :]
+        yield row, p, lo - int(bounds[row]), float(alike), lcs, common_subsequence(answer, text) / len(answer)
     edge = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
     sums = np.add.reduceat(model.space[at], edge, axis=0)
     ids = block[edge]
@@ -224,12 +273,13 @@ def search(column, model: LatentItems, cosine: float, share: float, least: float
 
 def find_leaks(
     docs: DataFrame, items: DataFrame, width: int = 128, cosine: float = 0.35, share: float = 0.3, least: float = 0.6,
-    answer: float = 0.5, common: float = 0.1, items_per_pass: int = 2000,
+    answer: float = 0.5, common: float = 0.1, items_per_pass: int = 2000, present: float = 0.6,
 ) -> DataFrame:
     """(doc_id, item_id, first_word, cosine, lcs, answer): the best match of every item found in a document.
 
     ``docs``: doc_id, text; ``items``: item_id, text. Whole texts are searched, words are lower-cased runs of letters
-    and digits. A passage matches when its common subsequence with the text around the window has at least ``least`` of
+    and digits. A passage is compared where ``present`` of the weight of its words stands within three blocks of words,
+    or where the cosine and its ``share`` are large. It matches when its common subsequence with the text around the window has at least ``least`` of
     its words and the answer at least ``answer`` of its own. Null and empty texts match nothing, on either side; null
     ids pass through; rows that repeat an id are one document. Of equally long matches the first place counts. Empty
     tables give no rows; other columns are not read. Items are searched in blocks of ``items_per_pass``, which bounds
@@ -245,7 +295,7 @@ def find_leaks(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = sent.value
             for batch in slices(batches):
-                hits = [h for h in search(batch.column(1), model, cosine, share, least) if h[5] >= answer]
+                hits = [h for h in search(batch.column(1), model, cosine, share, least, present) if h[5] >= answer]
                 ids = batch.column(0)
                 cols = [
                     pa.array([ids[h[0]].as_py() for h in hits], pa.int64()),

@@ -128,3 +128,15 @@ def test_paraphrases_and_odd_rows(spark):
     assert {(r["doc_id"], r["item_id"]) for r in find_leaks(docs, items).collect()} == {(1, 7), (2, 7), (None, 7)}
     assert {r["doc_id"] for r in without_leaks(docs, items).collect()} == {3, 4, 5, 6, None}
     assert find_leaks(docs, items.limit(0)).collect() == [] and find_leaks(docs.limit(0), items).collect() == []
+
+
+def test_contained_passages_are_always_found(spark):
+    """Whole items among words of other items, where a cosine in few dimensions does not tell them apart."""
+    rng = random.Random(3)
+    words_ = [f"w{i}" for i in range(1500)]
+    items = [(i, " ".join(rng.sample(words_, rng.randint(15, 26)))) for i in range(400)]
+    around = lambda n: " ".join(rng.choice(words_) for _ in range(n))
+    docs = [(i, f"{around(rng.randint(40, 90))} {t} {around(60)}") for i, t in items]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["lcs"] for r in find_leaks(*tables, width=16).collect()}
+    assert all(found.get((i, i)) == 1.0 for i, _ in items) and len(found) <= 404
