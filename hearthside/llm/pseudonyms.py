@@ -23,7 +23,7 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./](?:19|20)[0-9]{2})(?![0-9/-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "phone": r"(?<![0-9+])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])(?:\+1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
@@ -188,11 +188,13 @@ def _ip(s: Column, key: str, restore: bool) -> Column:
 
 
 def _phone(s: Column, key: str, restore: bool) -> Column:
-    """The last ten digits; the area code never begins with 0 or 1, the country code stays."""
+    """The last ten digits; area codes from 200 and those below are permuted apart, the country code stays."""
     digits = F.regexp_replace(s, "[^0-9]", "")
     ten = F.substring(digits, -10, 10)
-    cells = F.transform(_chars(ten), lambda c, i: F.when(i == 0, _cell(c.cast("int") - 2, 8)).otherwise(_cell(c.cast("int"), 10)))
-    new = F.transform(feistel(cells, key, "phone", restore), lambda c, i: _cell(c["v"] + F.when(i == 0, 2).otherwise(0), 10))
+    low = F.substring(ten, 1, 1) < "2"
+    first = lambda c: F.when(low, _cell(c, 2)).otherwise(_cell(c - 2, 8))
+    cells = F.transform(_chars(ten), lambda c, i: F.when(i == 0, first(c.cast("int"))).otherwise(_cell(c.cast("int"), 10)))
+    new = F.transform(feistel(cells, key, "phone", restore), lambda c, i: _cell(c["v"] + F.when((i == 0) & ~low, 2).otherwise(0), 10))
     return _spelled(F.concat(_char_cells(digits.substr(F.lit(1), F.length(digits) - 10)), new), s)
 
 

@@ -140,3 +140,19 @@ def test_contained_passages_are_always_found(spark):
     tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]): r["lcs"] for r in find_leaks(*tables, width=16).collect()}
     assert all(found.get((i, i)) == 1.0 for i, _ in items) and len(found) <= 404
+
+
+def test_every_phone_shape(spark, sf_dir):
+    phones = ["+1 (017) 555-7713", "+1 (132) 555-1352", "017-555-7713", "+1 212 555 1234", "212 555 1234", "(012)555-1234"]
+    docs = spark.createDataFrame([(i, f"call {p} now") for i, p in enumerate(phones)], "doc_id long, text string")
+    new = pseudonymise(docs, "k")
+    got = {r["doc_id"]: r for r in new.collect()}
+    assert all(p not in got[i]["text"] and [x["kind"] for x in got[i]["replaced"]] == ["phone"] for i, p in enumerate(phones))
+    assert {r["doc_id"]: r["text"] for r in pseudonymise(new, "k", restore=True).collect()} == {i: f"call {p} now" for i, p in enumerate(phones)}
+    shape = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+    table = spark.read.parquet(f"{sf_dir}/../sf0.1/documents.parquet").where(F.col("text").rlike(shape)).select("doc_id", "text")
+    spans = lambda df: {(r[0], i): s for r in df.select("doc_id", F.regexp_extract_all("text", F.lit(shape), F.lit(0))).collect() for i, s in enumerate(r[1])}
+    old, now = spans(table), spans(pseudonymise(table, "k"))
+    stay = [k for k, s in old.items() if now.get(k) == s]
+    print("phones", len(old), "in clear", len(stay))
+    assert old and not stay
