@@ -19,7 +19,7 @@ ROUNDS = 8
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z0-9-]{2,}+",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=password=)[A-Za-z0-9]{6,}+|(?<=token = \")[A-Za-z0-9]{16,}+(?=\")",
+    "secret": r"(?<=(?i:password=))[A-Za-z0-9]{6,}+|(?<=(?i:token = \"))[A-Za-z0-9]{16,}+(?=\")",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./](?:19|20)[0-9]{2})(?![0-9/-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
@@ -264,7 +264,7 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", restore:
     Spans that fail validation stay. Letters outside A-Z and the domain of an address stay.
     """
     text = F.col(text_column)
-    marked = text.rlike("[0-9@]|password=")
+    marked = text.rlike('[0-9@]|AKIA|ASIA|(?i:password=|token = ")')
     found = F.when(marked, F.regexp_extract_all(text, F.lit(SPAN), F.lit(0))).otherwise(F.array().cast("array<string>"))
     spans = F.transform(found, lambda s: F.struct(s.alias("s"), _kind(s).alias("kind")))
     new = F.transform(
