@@ -46,6 +46,11 @@ def _slot(level: int, i: int) -> str:
     return f"s{level}_{i}"
 
 
+def _text(level: int, nodes: range) -> str:
+    """The digests of neighbours at a level, end to end, as SQL."""
+    return f"concat('', {', '.join(f"coalesce({_slot(level, i)}, '')" for i in nodes)})" if len(nodes) else "''"
+
+
 def climb(nodes: DataFrame, rounds: int, fanout: int, carry: tuple[str, ...] = ()) -> tuple[list[DataFrame], DataFrame]:
     """Blocks of every round, written, and the top node of each tree (tree, depth, idx, hash).
 
@@ -54,31 +59,30 @@ def climb(nodes: DataFrame, rounds: int, fanout: int, carry: tuple[str, ...] = (
     """
     width, blocks = fanout**SPAN, []
     for turn in range(rounds):
-        row = F.struct("hash", *(carry if turn == 0 else ()))
-        spread = nodes.groupBy("tree", "depth", F.floor(F.col("idx") / width).cast("long").alias("idx")).agg(
-            *[F.max(F.when(F.col("idx") % width == s, row)).alias(f"slot{s}") for s in range(width)]
+        row = ", ".join(("hash", *(carry if turn == 0 else ())))
+        spread = nodes.groupBy("tree", "depth", F.expr(f"idx div {width}").alias("idx")).agg(
+            *[F.expr(f"max(if(idx % {width} = {s}, struct({row}), null))").alias(f"slot{s}") for s in range(width)]
         )
-        block = spread.withColumns({_slot(0, s): F.col(f"slot{s}.hash") for s in range(width)})
+        block = spread.select("*", *[F.expr(f"slot{s}.hash AS {_slot(0, s)}") for s in range(width)])
         for level in range(SPAN):
-            above = {}
+            above = []
             for i in range(width // fanout ** (level + 1)):
-                children = [F.col(_slot(level, i * fanout + k)) for k in range(fanout)]
-                whole = digest(children[0], *[F.coalesce(c, F.lit("")) for c in children[1:]])
-                above[_slot(level + 1, i)] = F.when(F.col("depth") > turn * SPAN + level, whole).otherwise(children[0])
-            block = block.withColumns(above)
+                first = _slot(level, i * fanout)
+                whole = f"sha2({_text(level, range(i * fanout, (i + 1) * fanout))}, 256)"
+                above.append(F.expr(f"CASE WHEN depth <= {turn * SPAN + level} THEN {first} WHEN {first} IS NOT NULL THEN {whole} END AS {_slot(level + 1, i)}"))
+            block = block.select("*", *above)
         block = stored(block, "merkle-blocks")
         blocks.append(block)
         nodes = block.select("tree", "depth", "idx", F.col(_slot(SPAN, 0)).alias("hash"))
     return blocks, nodes
 
 
-def _siblings(s: int, level: int, base: int, fanout: int) -> Column:
-    """The other children of the parent above the node over slot ``s`` at ``level``, null above the tree's top."""
+def _siblings(s: int, level: int, base: int, fanout: int) -> str:
+    """The other children of the parent above the node over slot ``s`` at ``level``, null above the tree's top, as SQL."""
     i = s // fanout**level
     first = i // fanout * fanout
-    text = lambda of: F.concat(F.lit(""), *[F.coalesce(F.col(_slot(level, k)), F.lit("")) for k in of])
-    pair = F.struct(text(range(first, i)).alias("left"), text(range(i + 1, first + fanout)).alias("right"))
-    return F.when(F.col("depth") > base + level, pair)
+    left, right = _text(level, range(first, i)), _text(level, range(i + 1, first + fanout))
+    return f"if(depth > {base + level}, named_struct('left', {left}, 'right', {right}), null)"
 
 
 def descend(blocks: list[DataFrame], tops: DataFrame, fanout: int, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -91,17 +95,15 @@ def descend(blocks: list[DataFrame], tops: DataFrame, fanout: int, carry: tuple[
     given = [c for c in tops.columns if c not in ("tree", "path")]
     paths = tops.withColumn("idx", F.lit(0).cast("long"))
     for turn in reversed(range(len(blocks))):
-        kept = carry if turn == 0 else ()
+        kept = ("hash", *carry) if turn == 0 else ()
         slots = []
         for s in range(width):
-            own = F.array_compact(F.array(*[_siblings(s, level, turn * SPAN, fanout) for level in range(SPAN)])).cast(PATH)
-            slot = F.struct(
-                (F.col("idx") * width + s).alias("idx"), F.concat(own, "path").alias("path"),
-                F.col(f"slot{s}.hash").alias("hash"), *[F.col(f"slot{s}.{c}").alias(c) for c in kept],
-            )
-            slots.append(F.when(F.col(_slot(0, s)).isNotNull(), slot))
-        rows = blocks[turn].join(paths, ["tree", "idx"]).select("tree", *given, F.explode(F.array_compact(F.array(*slots))).alias("node"))
-        paths = rows.select("tree", *given, "node.idx", "node.path", *(["node.hash", *[f"node.{c}" for c in kept]] if turn == 0 else []))
+            own = ", ".join(_siblings(s, level, turn * SPAN, fanout) for level in range(SPAN))
+            cells = "".join(f", '{c}', slot{s}.{c}" for c in kept)
+            slot = f"named_struct('idx', idx * {width} + {s}, 'path', concat(CAST(array_compact(array({own})) AS {PATH}), path){cells})"
+            slots.append(f"if({_slot(0, s)} IS NULL, null, {slot})")
+        rows = blocks[turn].join(paths, ["tree", "idx"]).select("tree", *given, F.expr(f"explode(array_compact(array({', '.join(slots)})))").alias("node"))
+        paths = rows.select("tree", *given, "node.idx", "node.path", *[f"node.{c}" for c in kept])
         if turn:
             paths = stored(paths, "merkle-paths")
     return paths

@@ -149,12 +149,16 @@ def noise(seed: int) -> Column:
     return F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0))).cast("long")
 
 
-def _order(key, than) -> tuple[Column, Column]:
-    """(key > than, key = than) of composite keys, column by column."""
-    above, equal = F.lit(False), F.lit(True)
-    for column, value in zip(key, than):
-        above, equal = above | (equal & (F.col(column) > F.lit(value))), equal & (F.col(column) == F.lit(value))
-    return above, equal
+def _above(key: list[str], than: tuple) -> str:
+    """key > than, column by column, as SQL."""
+    out = "false"
+    for column, value in reversed(list(zip(key, than))):
+        out = f"({column} > {value} OR ({column} = {value} AND {out}))"
+    return out
+
+
+def _equal(key: list[str], to: tuple) -> str:
+    return "(" + " AND ".join(f"{column} = {value}" for column, value in zip(key, to)) + ")"
 
 
 def kth_key(rows: DataFrame, key: list[str], k: int, seed: int = 0, pivots: int = PIVOTS) -> tuple | None:
@@ -171,11 +175,8 @@ def kth_key(rows: DataFrame, key: list[str], k: int, seed: int = 0, pivots: int
         bounds = sorted(map(tuple, drawn))
         if not bounds:
             return None
-        place = F.lit(0)
-        for bound in bounds:
-            above, equal = _order(key, bound)
-            place += F.when(above, 2).when(equal, 1).otherwise(0)
-        counts = {r["place"]: r["count"] for r in pool.groupBy(place.alias("place")).count().collect()}
+        place = " + ".join(f"CASE WHEN {_above(key, b)} THEN 2 WHEN {_equal(key, b)} THEN 1 ELSE 0 END" for b in bounds)
+        counts = {r["place"]: r["count"] for r in pool.groupBy(F.expr(place).alias("place")).count().collect()}
         for at in range(2 * len(bounds) + 1):
             if left <= counts.get(at, 0):
                 break
@@ -186,10 +187,9 @@ def kth_key(rows: DataFrame, key: list[str], k: int, seed: int = 0, pivots: int
             return bounds[at // 2]
         low, high = (bounds[at // 2 - 1] if at else None), (bounds[at // 2] if at < 2 * len(bounds) else None)
         if low:
-            pool = pool.where((F.col(key[0]) >= low[0]) & _order(key, low)[0])
+            pool = pool.where(f"{key[0]} >= {low[0]} AND {_above(key, low)}")
         if high:
-            above, equal = _order(key, high)
-            pool = pool.where((F.col(key[0]) <= high[0]) & ~above & ~equal)
+            pool = pool.where(f"{key[0]} <= {high[0]} AND NOT {_above(key, high)} AND NOT {_equal(key, high)}")
         pool, turn = stored(pool, "pool"), turn + 1
     return None
 
@@ -213,6 +213,6 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, least_words:
     columns = [F.when(F.col("id") != F.lit(LAST_ID), F.col("id")).alias("doc_id"), "n_words", "n_features", "weight", "score"]
     if last is None:
         return scored.select(*columns, F.lit(None).cast("long").alias("rank"))
-    wins = able & ~_order(key, last)[0]
+    wins = able & ~F.expr(_above(key, last))
     ranked = contiguous_id(scored.where(wins), key, "rank")
     return ranked.select(*columns, "rank").union(scored.where(~wins).select(*columns, F.lit(None).cast("long").alias("rank")))
