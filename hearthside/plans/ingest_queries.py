@@ -1,11 +1,13 @@
 """Incremental ingest: event files replayed as a stream into the shared folder."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hearthside.plans.fixture import read
 from hearthside.plans.registry import query
 from hearthside.session import shared_folder
-from hearthside.streaming.ingest import ingest, ingest_with_state, stream_records
+from hearthside.streaming.ingest import ingest, ingest_with_state, read_version, stream_records
+from hearthside.streaming.key_ledger import KeyLedger
 
 _SCHEMA = "event_id bigint, user_id bigint, event_type string, value double"
 _ONCE = "SELECT event_id, user_id, event_type, value FROM events"
@@ -49,6 +51,38 @@ def resumed_ingest(spark, sf_dir):
     return _result(spark, folder)
 
 
+@query(
+    "ingest_versions",
+    "SELECT v AS version, event_id, user_id, event_type, value FROM events, (SELECT unnest([0, 1, 2]) AS v) WHERE event_id % 3 <= v",
+    listings=False,
+)
+def ingest_versions(spark, sf_dir):
+    """The output after each of three batches, read back by version once all are in."""
+    folder = shared_folder(spark, "ingest")
+    events = _records(spark, sf_dir)
+    for part in range(3):
+        # every batch repeats all earlier records
+        events.where(f"event_id % 3 <= {part}").coalesce(1).write.mode("append").json(f"{folder}/in")
+        _run(spark, folder)
+    rows = [read_version(spark, f"{folder}/out", events.schema, v).withColumn("version", F.lit(v)) for v in range(3)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query(
+    "ledger_unseen",
+    "SELECT count(*) AS events, count(*) FILTER (user_id % 10 > 3) AS unseen FROM events",
+    listings=False,
+)
+def ledger_unseen(spark, sf_dir):
+    """Users of four batches in the bucketed ledger; how many events are of other users."""
+    ledger = KeyLedger(spark, shared_folder(spark, "ledger"), buckets=8, fan=3)
+    events = _records(spark, sf_dir)
+    for batch in range(4):
+        ledger.add(events.where(f"user_id % 10 = {batch}"), "user_id", batch)
+    left = ledger.unseen(events, "user_id")
+    return left.agg(F.count("*").alias("unseen")).select(F.lit(events.count()).alias("events"), "unseen")
+
+
 @query("stateful_ingest", _ONCE, listings=False)
 def stateful_ingest(spark, sf_dir):
     folder = shared_folder(spark, "ingest")

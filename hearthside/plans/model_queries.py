@@ -6,7 +6,7 @@ from hearthside import vocab
 from hearthside.functions.extract import enrich
 from hearthside.functions.features import engineer, one_hot
 from hearthside.functions.text import amenity_flags
-from hearthside.operators import deals, encode, market, models
+from hearthside.operators import attribution, deals, encode, market, models, search_space
 from hearthside.plans.fixture import AS_OF, listings, text_listings
 from hearthside.plans.preparation import frames, prepare, train_price_model
 from hearthside.plans.registry import query
@@ -167,12 +167,22 @@ def prepared_listings(spark, sf_dir):
     return found.select(*[F.col(f"`{c}`") for c in vocab.MODEL_COLUMNS], "price_numeric")
 
 
-_SMALL = {"maxIter": 6, "maxDepth": 4}
+# Models are fitted with the library's settings on prices of known form, so that every score has an exact expected value.
+# Trees may look at all columns in every node; boosting ends early once the held-back part of the rows is met.
+_ALL = {"featureSubsetStrategy": "all"}
+_KNOWN = f""", kn AS (SELECT *, 1000000 * (CASE WHEN completion_status = 'ready' THEN 2 ELSE 1 END) * (CASE WHEN ownership = 'primary' THEN 3 ELSE 1 END) AS known FROM listings_fx),
+y AS (SELECT *, ln(1 + known) AS y, {_BUCKET} AS b FROM kn), tr AS (SELECT * FROM y WHERE b >= 15), te AS (SELECT * FROM y WHERE b < 15)"""
 
 
-@query("gbt_scores")
+def known(spark, sf_dir):
+    """Listings whose price is 1, 2, 3 or 6 million by completion status and ownership."""
+    price = 1e6 * F.when(F.col("completion_status_ready") == 1, 2.0).otherwise(1.0) * F.when(F.col("ownership_primary") == 1, 3.0).otherwise(1.0)
+    return processed(spark, sf_dir).withColumn("price_numeric", price)
+
+
+@query("gbt_scores", _KNOWN + " SELECT row_key, round(y, 6) AS target, round(y, 6) AS prediction FROM te")
 def gbt_scores(spark, sf_dir):
-    fitted, ready = train_price_model(processed(spark, sf_dir), "row_key", **_SMALL)
+    fitted, ready = train_price_model(known(spark, sf_dir), "row_key", **_ALL)
     return fitted.model.transform(ready.test).select("row_key", F.round("target", 6).alias("target"), F.round("prediction", 6).alias("prediction"))
 
 
@@ -180,59 +190,143 @@ def gbt_scores(spark, sf_dir):
 def linear_scores(spark, sf_dir):
     """Plain, ridge and lasso baselines side by side."""
     ready = ready_frames(spark, sf_dir)
-    wide = ready.test
+    return _linear(ready.train, ready.test, ready.columns)
+
+
+def _linear(train, test, columns):
+    wide = test
     for name, params in {
         "plain": {}, "ridge": {"regParam": 0.01, "elasticNetParam": 0.0}, "lasso": {"regParam": 0.001, "elasticNetParam": 1.0},
     }.items():
-        wide = models.linear(ready.columns, name, **params).fit(ready.train).transform(wide).drop("features")
+        wide = models.linear(columns, name, **params).fit(train).transform(wide).drop("features")
     return wide.select("row_key", *[F.round(c, 6).alias(c) for c in ("target", "plain", "ridge", "lasso")])
 
 
+@query(
+    "linear_by_area",
+    f""", y AS (SELECT *, ln(1 + price_numeric) AS y, {_BUCKET} AS b FROM listings_fx), tr AS (SELECT * FROM y WHERE b >= 15), te AS (SELECT * FROM y WHERE b < 15),
+    m AS (SELECT avg(area_sqm) AS mx, avg(y) AS my, stddev_pop(area_sqm) AS sx, stddev_pop(y) AS sy, corr(area_sqm, y) AS r FROM tr),
+    s AS (SELECT *, sy / sx * r AS plain, sy / sx * r / (1 + 0.01 / sy) AS ridge, sy / sx * sign(r) * greatest(abs(r) - 0.001 / sy, 0) AS lasso FROM m)
+    SELECT row_key, round(y, 6) AS target, """
+    + ", ".join(f"round(my + {c} * (area_sqm - mx), 6) AS {c}" for c in ("plain", "ridge", "lasso"))
+    + " FROM te, s",
+)
+def linear_by_area(spark, sf_dir):
+    """The three regressions of the log price on the area alone, which have closed forms."""
+    rows = encode.with_target(listings(spark, sf_dir)).select("row_key", "target", "area_sqm")
+    return _linear(*encode.split(rows, "row_key"), ["area_sqm"])
+
+
+_FOLD = "CAST(concat('0x', substr(md5(concat('fold:', row_key)), 1, 8)) AS BIGINT) % 5"
+
+
+_FOLDED = ["city", "seller_name"]
+_FOLD_SQL = (
+    f""", tr AS (SELECT *, ln(1 + price_numeric) AS y, {_FOLD} AS f FROM listings_fx WHERE {_BUCKET} >= 15), fs AS (SELECT DISTINCT f FROM tr),
+    vs AS (SELECT * FROM (SELECT f AS own FROM fs), (SELECT -1 AS k UNION ALL SELECT 0)),
+    pr AS (SELECT own, k, avg(y) AS prior FROM tr, vs WHERE f <> own AND f <> k GROUP BY ALL)"""
+    + "".join(
+        f""", c_{c} AS (SELECT own, k, {c} AS v, avg(prior) * (1 - 1 / (1 + exp(-(count(*) - 20) / 10.0))) + avg(y) * (1 / (1 + exp(-(count(*) - 20) / 10.0))) AS code
+        FROM tr JOIN pr ON f <> own AND f <> k GROUP BY ALL)"""
+        for c in _FOLDED
+    )
+    + " SELECT row_key, f AS fold"
+    + "".join(f", round(coalesce({c}_{n}.code, {n}.prior), 6) AS {c}_{n}" for c in _FOLDED for n in ("own", "first"))
+    + " FROM tr JOIN pr own ON own.own = f AND own.k = -1 JOIN pr first ON first.own = f AND first.k = 0"
+    + "".join(
+        f" LEFT JOIN c_{c} {c}_{n} ON {c}_{n}.own = f AND {c}_{n}.k = {k} AND {c}_{n}.v = tr.{c}" for c in _FOLDED for n, k in (("own", -1), ("first", 0))
+    )
+)
+
+
+@query("fold_encoded", _FOLD_SQL)
+def fold_encoded(spark, sf_dir):
+    """Codes of the training rows without their own fold, and those in the fit that leaves fold 0 out."""
+    df = encode.with_target(listings(spark, sf_dir)).select("row_key", "target", *_FOLDED)
+    train = encode.with_folds(encode.split(df, "row_key")[0], "row_key")
+    coded = encode.fit_fold_encoding(train, _FOLDED, 5).apply(train)
+    own = [F.round(F.col(c)[5], 6).alias(f"{c}_own") for c in _FOLDED]
+    return coded.select("row_key", "fold", *own, *[F.round(F.col(c)[0], 6).alias(f"{c}_first") for c in _FOLDED])
+
+
 def _bases(columns):
-    return {
-        "boosted": models.boosted_trees(columns, "boosted", maxIter=4, maxDepth=3),
-        "forest": models.forest(columns, "forest", numTrees=5, maxDepth=4),
-    }
+    return {"boosted": models.early_boosted(columns, "boosted", **_ALL), "forest": models.forest(columns, "forest", **_ALL)}
+
 
+# both base models meet the target, so the ridge on two equal columns only shrinks it towards the training mean
+_SHRUNK = _KNOWN + """, w AS (SELECT avg(y) AS my, var_pop(y) * count(*) / (var_pop(y) * count(*) + 0.5 / stddev_pop(y)) AS w FROM tr),
+p AS (SELECT row_key, y, y AS boosted, y AS forest, my + w * (y - my) AS stacked, y AS blended FROM te, w)"""
 
-@query("stacked_scores")
+
+@query("stacked_scores", _SHRUNK + "SELECT row_key, round(y, 6) AS target, round(boosted, 6) AS boosted, round(forest, 6) AS forest, round(stacked, 6) AS stacked FROM p")
 def stacked_scores(spark, sf_dir):
-    ready = ready_frames(spark, sf_dir)
-    fitted, meta = models.fit_stack(ready.train, "row_key", _bases(ready.columns), folds=5)
-    return models.predict_stack(ready.test, fitted, meta).select(
+    ready = frames(known(spark, sf_dir), "row_key")
+    stack = models.fit_stack(ready.train, "row_key", _bases(ready.columns), views=ready.folded())
+    return models.predict_stack(ready.test, stack).select(
         "row_key", *[F.round(c, 6).alias(c) for c in ("target", "boosted", "forest", "stacked")]
     )
 
 
-@query("tuned_model")
+@query("tuned_model", "SELECT 'tuned' AS name, 1.0::DOUBLE AS r2, 0.0::DOUBLE AS rmse_log, 0.0::DOUBLE AS mae, 0.0::DOUBLE AS rmse, 0.0::DOUBLE AS mape, 50 AS trials FROM listings_fx LIMIT 1")
 def tuned_model(spark, sf_dir):
-    ready = ready_frames(spark, sf_dir)
-    search = models.tune(ready.train, "row_key", ready.columns, trials=2, folds=3)
-    return models.metrics(search.bestModel.transform(ready.test), {"tuned": "prediction"})
+    ready = frames(known(spark, sf_dir), "row_key")
+    model, study = search_space.tune(ready.train, ready.folded(), "row_key", ready.columns)
+    board = _rounded_metrics(models.metrics(model.transform(ready.test), {"tuned": "prediction"}))
+    return board.withColumn("trials", F.lit(len(study.trials)))
+
 
+_EXPLAINED = f""", y AS (SELECT *, CASE WHEN size_no % 9 = 0 THEN ln(1 + 2000000) ELSE ln(1 + 1000000) END AS y, {_BUCKET} AS b,
+  CAST(concat('0x', substr(md5(concat('early:', row_key)), 1, 8)) AS BIGINT) % 100 AS e, md5(concat('explain:', row_key)) AS h FROM listings_fx),
+bs AS (SELECT avg(y) AS base FROM y WHERE b >= 15 AND e >= 10),
+te AS (SELECT *, CAST(concat('0x', substr(h, 1, 8)) AS BIGINT) % 8 AS g FROM y WHERE b < 15),
+ls AS (SELECT g, max_by(y, h) AS last FROM te GROUP BY g),
+sw AS (SELECT avg((y - other) * (y - other)) AS rise FROM (SELECT y, coalesce(lag(y) OVER (PARTITION BY te.g ORDER BY h, row_key), last) AS other FROM te JOIN ls ON te.g = ls.g)),
+fe AS (SELECT unnest([{", ".join(f"'{c}'" for c in vocab.MODEL_COLUMNS)}]) AS feature)
+SELECT feature, round(CASE WHEN feature <> 'roof' THEN 0 WHEN kind = 'splits' THEN 1 WHEN kind = 'contribution' THEN (SELECT avg(abs(y - base)) FROM te, bs) ELSE (SELECT rise FROM sw) END, 6) AS importance, kind
+FROM fe, (SELECT unnest(['splits', 'contribution', 'permutation']) AS kind)"""
 
-@query("importances")
+
+@query("importances", _EXPLAINED)
 def importances(spark, sf_dir):
-    fitted, ready = train_price_model(processed(spark, sf_dir), "row_key", **_SMALL)
-    split_based = models.tree_importances(fitted.model, ready.columns, spark).withColumn("kind", F.lit("splits"))
-    swapped = models.permutation_importances(fitted.model, ready.test, "row_key", ready.columns)
-    return split_based.unionByName(swapped.withColumn("kind", F.lit("permutation")))
+    """Three kinds of attribution of a price that depends on the roof alone."""
+    table = processed(spark, sf_dir).withColumn("price_numeric", F.when(F.col("roof") == 1, 2e6).otherwise(1e6))
+    fitted, ready = train_price_model(table, "row_key", subsamplingRate=1.0, **_ALL)
+    n = len(ready.columns)
+    found = {
+        "splits": models.tree_importances(fitted.model, ready.columns, spark, top=n),
+        "contribution": attribution.mean_attribution(attribution.attribute(fitted.model, ready.test, ready.columns), ready.columns),
+        "permutation": models.permutation_importances(fitted.model, ready.test, "row_key", ready.columns, buckets=8, top=n),
+    }
+    wide = [df.select("feature", (F.round("importance", 6) + 0.0).alias("importance"), F.lit(kind).alias("kind")) for kind, df in found.items()]
+    return wide[0].unionByName(wide[1]).unionByName(wide[2])
 
 
-@query("leaderboard")
+@query(
+    "leaderboard",
+    _SHRUNK
+    + " UNION ALL ".join("(" + _metrics_sql(n) + ")" for n in ("boosted", "forest", "stacked", "blended")),
+)
 def leaderboard(spark, sf_dir):
-    ready = ready_frames(spark, sf_dir)
-    fitted, meta = models.fit_stack(ready.train, "row_key", _bases(ready.columns), folds=2)
-    wide = models.predict_stack(ready.test, fitted, meta)
-    weights = models.blend_weights(models.predict_stack(ready.train, fitted, meta), ["boosted", "forest", "stacked"])
-    names = {n: n for n in ("boosted", "forest", "stacked", "blended")}
-    return models.leaderboard(models.blend(wide, weights), names)
+    """Base models, stack and blend; blend weights come from out-of-fold predictions."""
+    ready = frames(known(spark, sf_dir), "row_key")
+    stack = models.fit_stack(ready.train, "row_key", _bases(ready.columns), views=ready.folded())
+    names = ["boosted", "forest", "stacked"]
+    weights = models.blend_weights(stack.out_of_fold, names)
+    wide = models.blend(models.predict_stack(ready.test, stack), weights)
+    return _rounded_metrics(models.leaderboard(wide, {n: n for n in [*names, "blended"]}))
 
 
-@query("scored_requests")
+@query(
+    "scored_requests",
+    _KNOWN + """ SELECT row_key, known::DOUBLE AS "Prediction", 'EGP' AS "Currency",
+    CASE line_no % 4 WHEN 0 THEN 'Fair Price' WHEN 1 THEN 'Great Deal' WHEN 2 THEN 'Overpriced' ELSE 'Possibly a Scam' END AS verdict FROM y""",
+)
 def scored_requests(spark, sf_dir):
     """Requests rebuilt from the search table, scored, and judged against the asking price."""
-    table = processed(spark, sf_dir)
-    fitted, _ = train_price_model(table, "row_key", **_SMALL)
-    priced = fitted.score(deals.request_rows(table), "row_key", "price_numeric")
+    table = known(spark, sf_dir)
+    fitted, _ = train_price_model(table, "row_key", **_ALL)
+    view = F.col("view_type")  # garden, sea and unknown
+    share = F.when(view == "garden", 1.0).when(view == "sea", 0.8).otherwise(F.when(F.col("line") == 2, 1.2).otherwise(1.6))
+    asked = table.withColumn("line", F.split("row_key", "-")[1].cast("int") % 4).withColumn("price_numeric", F.col("price_numeric") * share)
+    priced = fitted.score(deals.request_rows(asked), "row_key", "price_numeric")
     return deals.with_verdict(priced, "Prediction").select("row_key", F.round("Prediction", 4).alias("Prediction"), "Currency", "verdict")

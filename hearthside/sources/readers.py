@@ -6,17 +6,7 @@ from pyspark.sql.types import StructType
 
 from hearthside import schemas
 from hearthside.functions.truth import without_nan
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path holds readable files, on whatever file system the session uses."""
-    try:
-        spark.read.text(path).limit(0).collect()
-        return True
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+from hearthside.sources.files import exists
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from hearthside.operators.ledger import unseen
 from hearthside.operators.sequence import first_per_key
-from hearthside.sources.readers import exists
+from hearthside.sources.files import Manifests
+from hearthside.streaming.key_ledger import KeyLedger
 
 
 def stream_records(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 100) -> DataFrame:
@@ -26,30 +26,34 @@ def stream_records(spark: SparkSession, path: str, schema: StructType, files_per
     )
 
 
-def _ledger_before(spark: SparkSession, ledger: str, batch: int) -> DataFrame | None:
-    """Keys seen by earlier batches. A replay must not see what its first try wrote."""
-    if not exists(spark, ledger):
-        return None
-    return spark.read.schema("seen string, batch bigint").parquet(ledger).where(F.col("batch") < batch)
-
-
 def _add_batch(rows: DataFrame, batch: int, *, key: str, order: list[str], out: str, ledger: str, snapshot) -> None:
     spark = rows.sparkSession
     ordering = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    # repeats inside the batch are reduced before the join, so a hot key is one row by then
+    seen, log = KeyLedger(spark, ledger), snapshot_log(spark, out)
+    # repeats inside the batch are reduced before the comparison, so a hot key is one row by then
     fresh = first_per_key(rows.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != ""), key, ordering)
-    earlier = _ledger_before(spark, ledger, batch)
-    if earlier is not None:
-        fresh = unseen(fresh, earlier.select(F.col("seen").cast(rows.schema[key].dataType).alias(key)), key)
-    fresh.write.mode("overwrite").parquet(f"{out}/batch={batch}")
-    written = spark.read.parquet(f"{out}/batch={batch}")
-    written.select(F.col(key).cast("string").alias("seen")).write.mode("overwrite").parquet(f"{ledger}/batch={batch}")
+    # a batch that is repeated must not see what its first try added
+    seen.unseen(fresh, key, batch).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    seen.add(spark.read.schema(rows.schema).parquet(f"{out}/batch={batch}"), key, batch)
+    log.write(batch, [*log.read(log.latest(batch)), {"folder": f"batch={batch}"}])
     if snapshot is not None:
         every, write = snapshot
         if (batch + 1) % every == 0:
             write(spark.read.parquet(out))
 
 
+def snapshot_log(spark: SparkSession, out: str) -> Manifests:
+    """The versions of an ingest's output: version N lists the batch folders after batch N. Readers skip its folder."""
+    return Manifests(spark, f"{out}/_versions")
+
+
+def read_version(spark: SparkSession, out: str, schema: StructType, version: int | None = None) -> DataFrame:
+    """The output as it was after a batch (default: the last one). A version is a list of folders; no row is written twice."""
+    log = snapshot_log(spark, out)
+    folders = [e["folder"] for e in log.read(log.latest() if version is None else version)]
+    return spark.read.schema(schema).parquet(*[f"{out}/{f}" for f in folders]) if folders else spark.createDataFrame([], schema)
+
+
 def ingest(
     records: DataFrame,
     *,
@@ -62,9 +66,9 @@ def ingest(
 ) -> StreamingQuery:
     """Append records whose key was never seen, then stop when the input is used up.
 
-    ``order`` decides which of several equal keys in one batch is kept.
-    ``snapshot`` is ``(every, write)``: after every so many batches ``write`` gets all
-    rows so far. Starting again with the same folders continues where it stopped.
+    ``order`` decides which of several equal keys in one batch is kept. Every batch is a version that ``read_version``
+    reads. ``snapshot`` is ``(every, write)``: after every so many batches ``write`` gets all rows so far. Starting again
+    with the same folders continues where it stopped.
     """
     step = partial(_add_batch, key=key, order=order, out=out, ledger=ledger, snapshot=snapshot)
     return (
