@@ -12,7 +12,7 @@ PRICE, AREA = "price_numeric", "area_sqm"
 
 def with_ppsqm(df: DataFrame) -> DataFrame:
     """Rows with a positive area, plus their price per square metre."""
-    return df.where(F.col(AREA) > 0).withColumn("ppsqm", F.col(PRICE) / F.col(AREA))
+    return df.where(F.col(AREA) > 0).withColumn("ppsqm", F.try_divide(PRICE, AREA))
 
 
 def _with_values(row: DataFrame, values: DataFrame) -> DataFrame:

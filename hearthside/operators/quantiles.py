@@ -1,33 +1,52 @@
-"""Exact quantiles that never gather a group in one task.
-
-The built-in exact percentile keeps every distinct value of a group in one
-buffer, which a group holding a third of a huge table would overflow. Here the
-wanted ranks are located by counting, in two scans that shuffle little:
-
-1. Count values per group and logarithmic bin. A bin is a fixed function of the
-   value, so partial counts merge before the shuffle. A running sum over the
-   (few) bins of a group names the bins that hold the wanted ranks.
-2. Keep only rows of those bins (about a thousandth of the rows), count their distinct
-   values and order these to reach the rank. The first scan has counted every bin, so
-   it is known beforehand whether a bin fits one task; if one does not, its values are
-   first cut into equal-width slices and only the slice with the rank is ordered.
-
-Both scans prune to the group keys and the measured columns. Counts do not depend
-on task order, so re-run tasks give the same answer.
+"""Exact quantiles that never gather or sort a group's values: radix selection on the bits of the double.
+
+A double is turned into a whole number that has the same order: sign, exponent and mantissa in one. The number is cut into
+digits, from the highest on. A pass counts the rows per group, measure and digit, among the rows that agree with a wanted
+value in all earlier digits; a running sum over these counts names the digit that holds each wanted rank. After the last
+pass the digits are the value. Partial counts merge before the shuffle, so a group with a third of all rows, and values that
+lie close together, cost as much as any others: no window sees more than 2^22 counts. Every pass is one scan of the group
+keys and the measured columns for all groups and measures. Counts do not depend on task order, so re-run tasks give the same
+answer.
 """
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hearthside.session import settle
 
-LOG_BINS = 256
-SLICES = 1024
-ROWS_PER_TASK = 2_000_000
+# fixed values: bits of the mantissa and the exponent's offset of a double
+MANTISSA, OFFSET = 52, 1023
+#: Bits below the digits of the passes: the first digit holds the sign, the exponent and nine bits of the mantissa.
+CUTS = (43, 22, 0)
+
+
+def ordered_bits(x: Column) -> Column:
+    """A whole number that orders like the double ``x``; null for null and NaN, one number for both zeros."""
+    size = F.abs(x)
+    # numbers below the smallest exponent are not normalised; the logarithm may be off by one next to a power of two
+    guess = F.least(F.greatest(F.floor(F.log2(size)).cast("int"), F.lit(1 - OFFSET)), F.lit(OFFSET))
+    part = size / F.pow(F.lit(2.0), guess)  # exact, as are all shifts of the exponent
+    over, under = part >= 2, (part < 1) & (guess > 1 - OFFSET)
+    exponent = guess + F.when(over, 1).when(under, -1).otherwise(0)
+    mantissa = F.when(over, part / 2).when(under, part * 2).otherwise(part) * F.lit(float(1 << MANTISSA))
+    number = F.shiftleft((exponent + OFFSET - 1).cast("bigint"), MANTISSA) + mantissa.cast("bigint")
+    whole = F.when(size == float("inf"), F.lit((2 * OFFSET + 1) << MANTISSA)).when(size == 0, F.lit(0)).otherwise(number)
+    return F.when(x.isNull() | F.isnan(x), F.lit(None).cast("bigint")).when(x < 0, -whole).otherwise(whole)
+
+
+def from_ordered_bits(number: Column) -> Column:
+    """The double behind :func:`ordered_bits`."""
+    whole = F.abs(number)
+    exponent = F.shiftright(whole, MANTISSA)
+    mantissa = (whole % (1 << MANTISSA)).cast("double") / F.lit(float(1 << MANTISSA))
+    normal = (mantissa + 1) * F.pow(F.lit(2.0), exponent - OFFSET)
+    size = (
+        F.when(exponent == 0, mantissa * F.pow(F.lit(2.0), F.lit(1 - OFFSET)))
+        .when(exponent > 2 * OFFSET, F.lit(float("inf")))
+        .otherwise(normal)
+    )
+    return F.when(number < 0, -size).otherwise(size)
 
 
 def _ranks(prob: float, n: Column) -> tuple[Column, Column]:
@@ -35,11 +54,6 @@ def _ranks(prob: float, n: Column) -> tuple[Column, Column]:
     return F.floor(position), F.ceil(position)
 
 
-def _holds_rank(probs: list[float], n: Column, start: Column, stop: Column) -> Column:
-    wanted = [r for p in probs for r in _ranks(p, n)]
-    return reduce(or_, [(r >= start) & (r < stop) for r in wanted])
-
-
 def _long_form(df: DataFrame, by: list[str], measures: dict[str, Column]) -> DataFrame:
     """One row per measured value; null keys and missing values (null, NaN) carry no value."""
     kept = df.select(
@@ -55,42 +69,15 @@ def _long_form(df: DataFrame, by: list[str], measures: dict[str, Column]) -> Dat
             F.struct(F.lit(i).alias("_measure"), F.col(f"_m{i}").alias("_x")) for i in range(len(measures))
         ]
         kept = kept.select(*by, F.inline(F.array(*pairs)))
-    x = F.when(~F.isnan("_x"), F.col("_x"))
-    return kept.withColumn("_x", x).withColumn(
-        "_bin", F.floor(F.signum("_x") * F.log1p(F.abs("_x")) * F.lit(float(LOG_BINS)))
-    )
+    return kept.withColumn("_bits", ordered_bits(F.col("_x"))).drop("_x")
 
 
-def _narrow(inside: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
-    """Distinct values, with counts, of only those slices of a bin that hold a wanted rank."""
-    slice_no = F.when(
-        F.col("_hi") > F.col("_lo"),
-        F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(SLICES))),
-    ).otherwise(F.lit(0))
-    bin_key = [*group, "_bin", "_n"]
-    counted = (
-        inside.withColumn("_slice", slice_no)
-        .groupBy(*bin_key, "_base", "_slice", "_x")
-        .agg(F.count("*").alias("_c"))
-    )
-    per_slice = counted.groupBy(*bin_key, "_base", "_slice").agg(F.sum("_c").alias("_c"))
-    order = W.partitionBy(*bin_key).orderBy("_slice").rowsBetween(W.unboundedPreceding, 0)
-    slices = per_slice.withColumn("_stop", F.col("_base") + F.sum("_c").over(order)).withColumn(
-        "_start", F.col("_stop") - F.col("_c")
-    )
-    wanted = slices.where(_holds_rank(probs, F.col("_n"), F.col("_start"), F.col("_stop")))
-    return counted.drop("_base").join(
-        settle(wanted.select(*bin_key, "_slice", F.col("_start").alias("_base"))), [*bin_key, "_slice"]
-    )
+def _digit(cut: int) -> Column:
+    """What the number has above its lowest ``cut`` bits; negative numbers round down, which keeps the order."""
+    return F.shiftright("_bits", cut)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    by: list[str],
-    measures: dict[str, Column],
-    probs: list[float],
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: list[str], measures: dict[str, Column], probs: list[float]) -> DataFrame:
     """Linear-interpolated quantiles per group.
 
     Returns ``by`` plus, per measure, an array column with one value per
@@ -98,48 +85,32 @@ def exact_quantiles(
     """
     values = _long_form(df, by, measures)
     group = [*by, "_measure"]
-
-    per_bin = values.groupBy(*group, "_bin").agg(
-        F.count("_x").alias("_c"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
-    )
-    bins = per_bin.withColumn(
-        "_stop", F.sum("_c").over(W.partitionBy(*group).orderBy("_bin").rowsBetween(W.unboundedPreceding, 0))
-    ).withColumn("_n", F.sum("_c").over(W.partitionBy(*group)))
-    bins = bins.withColumn("_start", F.col("_stop") - F.col("_c"))
-    holds = _holds_rank(probs, F.col("_n"), F.col("_start"), F.col("_stop"))
-    # the null bin of a group without any value is kept as a marker
-    targets = settle(
-        bins.where((F.col("_c") > 0) & holds | (F.col("_n") == 0)).select(
-            *group, "_bin", "_lo", "_hi", F.col("_start").alias("_base"), "_n", "_c"
-        )
-    )
-    largest = targets.agg(F.max("_c")).first()[0] or 0
-
-    inside = values.join(targets.where("_n > 0").drop("_c"), [*group, "_bin"])
-    if largest <= rows_per_task:
-        counted = inside.groupBy(*group, "_bin", "_base", "_n", "_x").agg(F.count("*").alias("_c"))
-        cell = [*group, "_bin"]
-    else:
-        counted = _narrow(inside, group, probs)
-        cell = [*group, "_bin", "_slice"]
-    ordered = W.partitionBy(*cell).orderBy("_x").rowsBetween(W.unboundedPreceding, 0)
-    placed = (
-        counted.withColumn("_stop", F.col("_base") + F.sum("_c").over(ordered))
-        .withColumn("_start", F.col("_stop") - F.col("_c"))
-        .select(*group, "_n", "_x", "_start", "_stop")
-    )
-    empty = targets.where("_n = 0").select(
-        *group,
-        F.lit(0).cast("long").alias("_n"),
-        F.lit(None).cast("double").alias("_x"),
-        F.lit(None).cast("long").alias("_start"),
-        F.lit(None).cast("long").alias("_stop"),
-    )
-    placed = placed.unionByName(empty)
+    first = values.groupBy(*group, _digit(CUTS[0]).alias("_digit")).agg(F.count("*").alias("_c"))
+    run = W.partitionBy(*group).orderBy(F.col("_digit").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    valued = F.when(F.col("_digit").isNotNull(), F.col("_c")).otherwise(0)
+    counted = first.withColumns({"_stop": F.sum(valued).over(run), "_n": F.sum(valued).over(W.partitionBy(*group))})
+    counted = counted.withColumn("_start", F.col("_stop") - valued)
+    # the wanted ranks that a digit holds; the rows of a group without any value stay as a marker
+    ranks = F.array_distinct(F.array(*[r for p in probs for r in _ranks(p, F.col("_n"))]))
+    here = lambda r: (r >= F.col("_start")) & (r < F.col("_stop"))
+    held = counted.withColumn("_ranks", F.filter(ranks, here)).where("size(_ranks) > 0 OR (_n = 0 AND _digit IS NULL)")
+    # a settled target table has a known size, so that the rows are not shuffled to meet a small one
+    targets = settle(held.select(*group, "_digit", "_start", "_n", "_ranks"))
+
+    for above, cut in zip(CUTS, CUTS[1:]):
+        # rows that agree with a target in all digits so far, counted by the next digit
+        inside = values.withColumn("_digit", _digit(above)).join(targets.where("_n > 0"), [*group, "_digit"])
+        prefix = [*group, "_digit", "_start", "_n", "_ranks"]
+        finer = inside.groupBy(*prefix, _digit(cut).alias("_finer")).agg(F.count("*").alias("_c"))
+        run = W.partitionBy(*group, "_digit").orderBy("_finer").rowsBetween(W.unboundedPreceding, 0)
+        placed = finer.withColumn("_stop", F.col("_start") + F.sum("_c").over(run)).withColumn("_start", F.col("_stop") - F.col("_c"))
+        held = placed.withColumn("_ranks", F.filter("_ranks", here)).where("size(_ranks) > 0")
+        found = held.select(*group, F.col("_finer").alias("_digit"), "_start", "_n", "_ranks")
+        targets = settle(found.unionByName(targets.where("_n = 0")))
 
     def at(rank: Column, measure: int) -> Column:
-        here = (F.col("_measure") == measure) & (rank >= F.col("_start")) & (rank < F.col("_stop"))
-        return F.max(F.when(here, F.col("_x")))
+        mine = (F.col("_measure") == measure) & F.array_contains("_ranks", rank)
+        return F.max(F.when(mine, from_ordered_bits(F.col("_digit"))))
 
     picked = []
     for i in range(len(measures)):
@@ -149,7 +120,7 @@ def exact_quantiles(
             low, high = _ranks(p, F.col("_n"))
             picked.append(at(low, i).alias(f"_lo{i}_{j}"))
             picked.append(at(high, i).alias(f"_hi{i}_{j}"))
-    wide = placed.groupBy(*by).agg(*picked)
+    wide = targets.groupBy(*by).agg(*picked)
 
     def interpolate(i: int, j: int, p: float) -> Column:
         position = F.lit(float(p)) * (F.col(f"_n{i}") - 1)

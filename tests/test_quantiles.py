@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hearthside.operators.quantiles import exact_quantiles, medians
+from hearthside.operators.quantiles import exact_quantiles, from_ordered_bits, medians, ordered_bits
 
 
 def skewed_rows():
@@ -14,17 +14,19 @@ def skewed_rows():
     rows += [("hot", 500000.0)] * 1500
     rows += [(f"k{i % 40}", rng.uniform(-5, 5)) for i in range(2000)]
     rows += [("narrow", 30 + rng.random() / 1e6) for _ in range(999)]
+    rows += [("packed", -7.0 - i * 2.0**-50) for i in range(700)]  # neighbours in the lowest bits
+    rows += [("wide", rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300)) for _ in range(500)]
+    rows += [("tiny", i * 5e-324) for i in range(-40, 300)]
     rows += [("two", 1.0), ("two", 2.0), ("one", -0.25), ("zero", 0.0), ("zero", -0.0)]
     rows += [("empty", None), ("two", None), ("two", float("nan")), (None, 3.0)]
     return rows
 
 
-@pytest.mark.parametrize("rows_per_task", [2_000_000, 1])
-def test_matches_numpy(spark, rows_per_task):
+def test_matches_numpy(spark):
     rows = skewed_rows()
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
     df = spark.createDataFrame(rows, "k string, x double")
-    got = {r["k"]: r["q"] for r in exact_quantiles(df, ["k"], {"q": F.col("x")}, probs, rows_per_task).collect()}
+    got = {r["k"]: r["q"] for r in exact_quantiles(df, ["k"], {"q": F.col("x")}, probs).collect()}
     groups = {}
     for k, x in rows:
         if k is not None:
@@ -53,3 +55,18 @@ def test_approximate_switch(spark):
     df = spark.range(1, 1002).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("x"))
     got = {r["k"]: r["m"] for r in medians(df, ["k"], {"m": F.col("x")}, approx=True).collect()}
     assert abs(got[0] - 501) <= 2 and abs(got[1] - 501) <= 2
+
+
+def test_bits_order_like_doubles_and_come_back(spark):
+    rng = random.Random(6)
+    edges = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, math.nextafter(1, 0), math.nextafter(1, 2), 1.7976931348623157e308, math.inf]
+    values = edges + [2.0**k for k in range(-1074, 1024, 7)] + [math.nextafter(2.0**k, 0) for k in range(-1000, 1024, 7)] + [rng.lognormvariate(0, 60) for _ in range(500)]
+    values += [-v for v in values]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", ordered_bits(F.col("x")).alias("b")).select("x", "b", from_ordered_bits(F.col("b")).alias("y"))
+    rows = df.collect()
+    assert all(r["x"] == r["y"] for r in rows)
+    by_bits = sorted(rows, key=lambda r: r["b"])
+    assert [r["x"] for r in by_bits] == sorted(r["x"] for r in rows)
+    assert all((a["b"] == b["b"]) == (a["x"] == b["x"]) for a, b in zip(by_bits, by_bits[1:]))
+    odd = spark.sql("SELECT CAST('NaN' AS DOUBLE) AS x UNION ALL SELECT CAST(NULL AS DOUBLE)").select(ordered_bits(F.col("x")).alias("b"))
+    assert [r["b"] for r in odd.collect()] == [None, None]
