@@ -1,5 +1,6 @@
 """Faceted search, options, ids and paging over the search table."""
 
+import json
 from functools import reduce
 from operator import and_
 
@@ -63,6 +64,42 @@ def search(
     return filtered(df, **facets).orderBy(by, *(key or ["id"])).offset(offset).limit(limit)
 
 
+def continuation(row, sort_by: str = "price_numeric", key: str = "id") -> str | None:
+    """Text that stands for the place behind a row (the last one of a page); None without a row."""
+    return None if row is None else json.dumps([row[sort_by], row[key]])
+
+
+def search_after(
+    df: DataFrame,
+    token: str | None = None,
+    *,
+    sort_by: str = "price_numeric",
+    sort_dir: str = "ASC",
+    limit: int = 100,
+    key: str = "id",
+    **facets,
+) -> DataFrame:
+    """The page behind ``token`` (None: the first), in the order of :func:`search`; ``key`` is unique.
+
+    The place is a range on the sort column that reaches the scan, and the page is a distributed top-n of ``limit`` rows: page
+    10,000 costs no more than the first one, and rows added in between move no row from page to page.
+    """
+    if sort_by not in vocab.SORTABLE_COLUMNS:
+        sort_by = "price_numeric"
+    value, down = F.col(sort_by), sort_dir.upper() == "DESC"
+    found = filtered(df, **facets)
+    if token is not None:
+        last, at = json.loads(token)
+        behind = F.col(key) > F.lit(at)
+        if last is None:  # nulls come first upward and last downward
+            found = found.where(value.isNull() & behind if down else (value.isNull() & behind) | value.isNotNull())
+        elif down:
+            found = found.where((value <= last) | value.isNull()).where((value < last) | value.isNull() | behind)
+        else:
+            found = found.where(value >= last).where((value > last) | behind)
+    return found.orderBy(value.desc_nulls_last() if down else value.asc_nulls_first(), key).limit(limit)
+
+
 def first_rows(df: DataFrame, key: list[str], limit: int = 5000, governorate: str | None = None) -> DataFrame:
     kept = df.where(F.col("governorate") == governorate) if governorate else df
     return kept.orderBy(*key).limit(limit)

@@ -3,11 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthside.plans.fixture import read
+from hearthside.plans.fixture import listings, read
 from hearthside.plans.registry import query
 from hearthside.session import shared_folder
 from hearthside.streaming.ingest import ingest, ingest_with_state, read_version, stream_records
 from hearthside.streaming.key_ledger import KeyLedger
+from hearthside.streaming.market_state import MarketState
 
 _SCHEMA = "event_id bigint, user_id bigint, event_type string, value double"
 _ONCE = "SELECT event_id, user_id, event_type, value FROM events"
@@ -83,6 +84,26 @@ def ledger_unseen(spark, sf_dir):
     return left.agg(F.count("*").alias("unseen")).select(F.lit(events.count()).alias("events"), "unseen")
 
 
+@query(
+    "merged_statistics",
+    """, v AS (SELECT unnest([2, 4]) AS version), l AS (SELECT * FROM v JOIN listings_fx ON order_no % 5 <= version),
+    b AS (SELECT version, governorate, CAST(floor(price_numeric / 5000) AS BIGINT) AS bin, count(*) AS n FROM l GROUP BY ALL),
+    c AS (SELECT *, sum(n) OVER (PARTITION BY version, governorate ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY version, governorate) AS total FROM b)
+    SELECT l.version, l.governorate, count(*) AS rows, count(price_numeric) AS n_price_numeric, round(CAST(sum(CAST(price_numeric AS DECIMAL(28, 4))) AS DOUBLE) / count(price_numeric), 4) AS mean_price_numeric,
+      min(price_numeric) AS min_price_numeric, max(price_numeric) AS max_price_numeric,
+      (SELECT min(bin) FROM c WHERE c.version = l.version AND c.governorate = l.governorate AND upto >= ceil(total / 2)) AS middle_price_numeric, count(DISTINCT city) AS distinct_city
+    FROM l GROUP BY l.version, l.governorate""",
+)
+def merged_statistics(spark, sf_dir):
+    """Statistics after the third and the fifth batch, from the states of the batches alone."""
+    state = MarketState(spark, shared_folder(spark, "market"), "governorate", {"price_numeric": 5000.0}, ["city"], fan=2)
+    rows = listings(spark, sf_dir).select("governorate", "city", "price_numeric", "order_no")
+    for batch in range(5):
+        state.add(rows.where(f"order_no % 5 = {batch}"), batch)
+    wide = [state.statistics(v).withColumn("version", F.lit(v)) for v in (2, 4)]
+    return wide[0].unionByName(wide[1]).withColumn("mean_price_numeric", F.round("mean_price_numeric", 4))
+
+
 @query("stateful_ingest", _ONCE, listings=False)
 def stateful_ingest(spark, sf_dir):
     folder = shared_folder(spark, "ingest")

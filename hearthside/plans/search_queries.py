@@ -1,5 +1,8 @@
 """Search, options, ids, duplicates and set operations."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthside import vocab
@@ -8,6 +11,7 @@ from hearthside.operators import clean, deals, ledger, search
 from hearthside.operators.sequence import contiguous_id, first_per_key
 from hearthside.plans.fixture import listings, read
 from hearthside.plans.registry import KEY, query
+from hearthside.session import cut_lineage
 
 _SHOWN = ["row_key", "city", "governorate", "price_numeric", "area_sqm", "bedrooms", "bathrooms"]
 _SHOWN_SQL = ", ".join(_SHOWN)
@@ -61,6 +65,23 @@ def search_paged(spark, sf_dir):
     ).select(*_SHOWN)
 
 
+@query(
+    "search_keyset",
+    _IDS
+    + """, r AS (SELECT id, city, price_numeric, row_number() OVER (ORDER BY price_numeric DESC, id) AS n FROM t WHERE governorate = 'ASIA' AND price_numeric <= 60000)
+    SELECT id, city, price_numeric, CAST((n - 1) // 30 AS INT) AS page FROM r WHERE n <= 150""",
+)
+def search_keyset(spark, sf_dir):
+    """Five pages of a search, each from the continuation of the one before."""
+    table = cut_lineage(numbered(spark, sf_dir, ["city", "governorate", "price_numeric"]))
+    pages, token = [], None
+    for number in range(5):
+        page = search.search_after(table, token, sort_dir="desc", limit=30, governorate="ASIA", max_price=60000)
+        token = search.continuation(page.tail(1)[0])
+        pages.append(page.select("id", "city", "price_numeric", F.lit(number).alias("page")))
+    return reduce(DataFrame.unionByName, pages)
+
+
 @query(
     "search_all_matches",
     f"SELECT {_SHOWN_SQL} FROM listings_fx WHERE property_type = 'STANDARD' AND bathrooms <= 2 AND ownership = 'primary'",
