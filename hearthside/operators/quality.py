@@ -70,3 +70,9 @@ def validate_requests(df: DataFrame) -> DataFrame:
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     checked = validate_requests(df)
     return checked.where(F.size("errors") == 0).drop("errors"), checked.where(F.size("errors") > 0)
+
+
+def unread_report(df: DataFrame, text: str, step: str) -> DataFrame:
+    """``step, n, texts`` per deciding step of a reading, with the number of different texts: what is read, and how much not."""
+    per_text = df.groupBy(step, text).agg(F.count("*").alias("n"))
+    return per_text.groupBy(step).agg(F.sum("n").alias("n"), F.count("*").alias("texts"))

@@ -11,6 +11,7 @@ from hearthside.functions import text
 from hearthside.functions.dates import posted_date, with_delivery_months
 from hearthside.functions.extract import Reader, enrich
 from hearthside.functions.features import delivery_bucket
+from hearthside.operators.quality import unread_report
 from hearthside.plans.fixture import (
     ARABIC_FINISH_SQL,
     AS_OF,
@@ -243,6 +244,45 @@ def months(spark, sf_dir):
     return found.select("row_key", F.round("months", 8).alias("months"))
 
 
+# text, months or the day it means, and the step that reads it; one for every step and layout
+DELIVERY_CASES = [
+    ("31/12/2026", "2026-12-31", "date"), ("2026-31-12", "2026-12-31", "date"), ("20261231", "2026-12-31", "date"), ("2026/12", "2026-12-01", "date"),
+    ("12/2026", "2026-12-01", "date"), ("31st December 2026", "2026-12-31", "date"), ("Dec 31, 2026", "2026-12-31", "date"),
+    ("December 2026", "2026-12-01", "date"), ("2026 Dec", "2026-12-01", "date"), ("Dec-26", "2026-12-01", "month"), ("2026", "2026-12-31", "year"),
+    ("2025 - 2027", "2027-12-31", "year"), ("18 months", 18.0, "duration"), ("1.5 Years", 18.0, "duration"), ("three years", 36.0, "duration"),
+    ("Ready to move", 0.0, "phrase"), ("next year", "2026-01-01", "phrase"), ("", 0.0, "empty"), ("nan", 0.0, "empty"), ("TBD", 0.0, "unread"),
+    ("13/13/2026", 0.0, "unread"), ("30 Feb 2026", 0.0, "unread"), ("May", 0.0, "unread"), ("123", 0.0, "unread"),
+]
+
+
+def _case_sql(value) -> str:
+    return f"date_diff('day', DATE '{AS_OF}', DATE '{value}') / 30.4375" if isinstance(value, str) else str(value)
+
+
+def _cases(i: int, quote) -> str:
+    return f"CASE order_no % {len(DELIVERY_CASES)} " + " ".join(f"WHEN {n} THEN {quote(c[i])}" for n, c in enumerate(DELIVERY_CASES)) + " END"
+
+
+def _delivery_cases(spark, sf_dir):
+    texts = F.array(*[F.lit(t) for t, _, _ in DELIVERY_CASES])
+    rows = text_listings(spark, sf_dir).withColumn("said", F.get(texts, (F.col("order_no") % len(DELIVERY_CASES)).cast("int")))
+    return with_delivery_months(rows, "said", "months", F.lit(AS_OF).cast("date"), step="step")
+
+
+@query("delivery_steps", f"SELECT row_key, round({_cases(1, _case_sql)}, 8) AS months, {_cases(2, repr)} AS step FROM listings_fx")
+def delivery_steps(spark, sf_dir):
+    return _delivery_cases(spark, sf_dir).select("row_key", F.round("months", 8).alias("months"), "step")
+
+
+@query(
+    "delivery_unread",
+    f"SELECT step, CAST(count(*) AS BIGINT) AS n, count(DISTINCT said) AS texts FROM (SELECT {_cases(2, repr)} AS step, {_cases(0, repr)} AS said FROM listings_fx) GROUP BY step",
+)
+def delivery_unread(spark, sf_dir):
+    """How many rows and texts each step reads, and how many none."""
+    return unread_report(_delivery_cases(spark, sf_dir), "said", "step")
+
+
 @query(
     "delivery_bucket",
     "SELECT row_key, CASE WHEN delivery_months <= 0.5 THEN 0 WHEN delivery_months <= 12 THEN 1 WHEN delivery_months <= 24 THEN 2 ELSE 3 END AS bucket FROM listings_fx",
