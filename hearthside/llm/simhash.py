@@ -8,8 +8,8 @@ of one is among the nearby ones of the other.
 Three differing bits leave one of four 16-bit segments as it is (pigeonhole). The other 48 bits make two halves, and one of
 these holds at most one of the three. So the key (segment, its 16 bits, half, codeword of the half) of one fingerprint
 equals one of the (segment, its 16 bits, half, nearby codeword) of the other, and no link is missed. Keys are dealt into
-buckets, packed; a bucket compares the fingerprints of equal keys and gives a spanning forest of the links found, never all
-pairs. Keys of very many fingerprints are cut into tiles that are dealt out once more.
+buckets, packed; a bucket compares the fingerprints of equal keys, contracts the links found and gives a star for each
+component, never all pairs. Keys of very many fingerprints are cut into tiles that are dealt out once more.
 """
 
 from collections.abc import Iterator
@@ -26,7 +26,7 @@ from hearthside.llm.components import components
 
 DIFFER = 3
 #: Pairs that are compared at a time, and pairs from which a key is cut into tiles.
-_CHUNK, _HOT, _TILE = 1 << 21, 1 << 26, 1 << 13
+_CHUNK, _HOT, _TILE = 1 << 18, 1 << 26, 1 << 13
 KEYS = "bucket int, keys binary, prints binary"
 MEET = "a long, b long, left binary, right binary"
 LINKS = "a long, b long"
@@ -138,44 +138,31 @@ def fingerprint(texts: pa.Array, size: int) -> np.ndarray:
     return np.packbits(2 * votes > total[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
-def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the same values as the links (a, b), one for every value but one of each component."""
-    values, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = ends[: len(a)], ends[len(a) :]
-    label = np.arange(len(values))
-    while True:
-        low = np.minimum(label[x], label[y])
-        before = label.copy()
-        for side in (x, y):
-            np.minimum.at(label, label[side], low)
-            np.minimum.at(label, side, low)
-        while (label[label] != label).any():
-            label = label[label]
-        if (label == before).all():
-            break
-    other = np.flatnonzero(label != np.arange(len(values)))
-    return values[other], values[label[other]]
+class _Joined:
+    """Components of the fingerprints of a task: the links found are contracted at once and never kept."""
 
-
-class _Found:
-    """Links found so far, reduced to a forest whenever they are many."""
-
-    def __init__(self):
-        self.a, self.b, self.n = [], [], 0
+    def __init__(self, prints: np.ndarray):
+        self.values = np.unique(prints)
+        self.label = np.arange(len(self.values))
 
     def compare(self, x: np.ndarray, y: np.ndarray) -> None:
-        near = (np.bitwise_count(x ^ y) <= DIFFER) & (x != y)
-        self.a.append(x[near])
-        self.b.append(y[near])
-        self.n += int(near.sum())
-        if self.n > 1 << 20:
-            self.links()
+        """Join the pairs of places (x, y) that differ in few bits."""
+        open_ones = self.label[x] != self.label[y]
+        x, y = x[open_ones], y[open_ones]
+        near = np.bitwise_count(self.values[x] ^ self.values[y]) <= DIFFER
+        x, y = x[near], y[near]
+        while len(x):
+            a, b = self.label[x], self.label[y]
+            np.minimum.at(self.label, np.maximum(a, b), np.minimum(a, b))
+            while (deeper := self.label[self.label]).tobytes() != self.label.tobytes():
+                self.label = deeper
+            differ = self.label[x] != self.label[y]
+            x, y = x[differ], y[differ]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (self.a, self.b))
-        a, b = forest(a, b)
-        self.a, self.b, self.n = [a], [b], 0
-        return a, b
+        """One for every fingerprint but the smallest of each component, to that one."""
+        other = np.flatnonzero(self.label != np.arange(len(self.values)))
+        return self.values[other].view(np.int64), self.values[self.label[other]].view(np.int64)
 
 
 def _send(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -204,30 +191,30 @@ def _meet(group: pa.Table, hot: int, tile: int) -> pa.Table:
     edge = cuts(key >> np.uint32(1))
     own = np.add.reduceat((key & np.uint32(1)) == 0, edge[:-1], dtype=np.int64) if len(key) else np.zeros(0, np.int64)
     near = np.diff(edge) - own
-    found, left, right = _Found(), [], []
+    found, left, right = _Joined(prints), [], []
+    at = np.searchsorted(found.values, prints)
     for g in np.flatnonzero(own * near > hot):
         a, b, c = int(edge[g]), int(edge[g] + own[g]), int(edge[g + 1])
         for i in range(a, b, tile):
             for j in range(b, c, 4 * tile):
                 left.append(prints[i : min(b, i + tile)].tobytes())
                 right.append(prints[j : min(c, j + 4 * tile)].tobytes())
-    cool = own * near <= hot
-    each = np.repeat(np.where(cool, own, 0), near)  # own codewords that each nearby one meets
-    start = np.repeat(edge[:-1], near)
     place = np.flatnonzero(key & np.uint32(1))
+    each = np.repeat(np.where(own * near <= hot, own, 0), near)  # own codewords that each nearby one meets
+    start = np.repeat(edge[:-1], near)
     sums = np.concatenate([[0], np.cumsum(each)])
     i = 0
     while i < len(place):
         j = max(i + 1, int(np.searchsorted(sums, sums[i] + _CHUNK, side="right")) - 1)
         n = each[i:j]
         nth = np.arange(sums[j] - sums[i]) - np.repeat(sums[i:j] - sums[i], n)
-        found.compare(np.repeat(prints[place[i:j]], n), prints[np.repeat(start[i:j], n) + nth])
+        found.compare(np.repeat(at[place[i:j]], n), at[np.repeat(start[i:j], n) + nth])
         i = j
     a, b = found.links()
-    rest = len(left)
+    rest = np.zeros(len(left), np.int64)
     return pa.table(
         [
-            pa.array(np.concatenate([a.view(np.int64), np.zeros(rest, np.int64)])), pa.array(np.concatenate([b.view(np.int64), np.zeros(rest, np.int64)])),
+            pa.array(np.concatenate([a, rest])), pa.array(np.concatenate([b, rest])),
             pa.array([None] * len(a) + left, pa.binary()), pa.array([None] * len(a) + right, pa.binary()),
         ],
         names=["a", "b", "left", "right"],
@@ -237,20 +224,21 @@ def _meet(group: pa.Table, hot: int, tile: int) -> pa.Table:
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for left, right in zip(batch.column(0), batch.column(1)):
-            found = _Found()
             x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (left, right))
+            found = _Joined(np.concatenate([x, y]))
+            x, y = np.searchsorted(found.values, x), np.searchsorted(found.values, y)
             step = max(1, _CHUNK // max(1, len(y)))
             for i in range(0, len(x), step):
                 part = x[i : i + step]
                 found.compare(np.repeat(part, len(y)), np.tile(y, len(part)))
             a, b = found.links()
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def links(prints: DataFrame, hot: int = _HOT, tile: int = _TILE) -> DataFrame:
-    """(a, b) that join distinct fingerprints (column fp) at three differing bits or less; enough of them, not all.
+    """(a, b) that join the distinct fingerprints (column fp) which chains of three differing bits or less connect.
 
-    Every pair at that distance is in one component of the result, and every link is one.
+    Enough of them, not all: a task sends one for every fingerprint but the smallest of each of its components.
     """
     spark = prints.sparkSession
     n = parts(spark)
