@@ -5,6 +5,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,18 +17,25 @@ MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D
 #: The place of rows without an id: after all others.
 LAST_ID = 2**63 - 1
 
-_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Within ``stored``: a finished job's shuffle files go at once, since its rows are in a written table by then, and a scan that
+#: is joined with a small part of its keys passes a Bloom filter of these before the shuffle, whatever its size.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+}
 
 
 @contextmanager
-def _shuffles_freed(spark: SparkSession):
-    """Within, a finished job's shuffle files go at once: its rows are in a written table by then."""
-    before = spark.conf.get(_FREE, "false")
-    spark.conf.set(_FREE, "true")
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(_FREE, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stored(df: DataFrame, purpose: str = "corpus") -> DataFrame:
@@ -37,7 +45,7 @@ def stored(df: DataFrame, purpose: str = "corpus") -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    with _shuffles_freed(spark):
+    with _settings(spark, _WRITING):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -95,11 +103,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_LETTER = mixed(np.arange(1, 257, dtype=np.uint64) * MIX[0])
-_STEP = 1 << 18
-with np.errstate(over="ignore"):
-    _POWER = np.cumprod(np.full(_STEP, MIX[3], np.uint64))
-    _BACK = np.cumprod(np.full(_STEP, np.uint64(pow(int(MIX[3]), -1, 1 << 64)), np.uint64))
 
 
 def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,25 +131,28 @@ def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return _stretches(_PART[buf], offsets)
 
 
-def word_names(buf: np.ndarray, first: np.ndarray, last: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit name of each word's bytes (sum of letter codes times powers of their place, then scrambled)."""
-    table = _LETTER[_LOWER] if lower else _LETTER
-    out = np.zeros(len(first), np.uint64)
-    i = 0
-    while i < len(first):
-        base = int(first[i])
-        j = max(i + 1, int(np.searchsorted(last, base + _STEP, side="right")))
-        stop = int(last[j - 1])
-        if stop - base <= _STEP:
-            sums = np.zeros(stop - base + 1, np.uint64)
-            np.cumsum(table[buf[base:stop]] * _POWER[: stop - base], out=sums[1:])
-            out[i:j] = (sums[last[i:j] - base] - sums[first[i:j] - base]) * _BACK[first[i:j] - base]
-        else:  # one word longer than a step
-            for at in range(base, stop, _STEP):
-                piece = buf[at : min(stop, at + _STEP)]
-                out[i] = out[i] * MIX[0] + (table[piece] * _POWER[: len(piece)]).sum(dtype=np.uint64)
-        i = j
-    return mixed(out + (last - first).astype(np.uint64) * MIX[0])
+_PIECE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LONG = 1024
+
+
+def word_names(buf: np.ndarray, first: np.ndarray, last: np.ndarray, lower: bool = False, family: int = 0) -> np.ndarray:
+    """A 64-bit name of each word's bytes, scrambled after every eight bytes; words of one size up to eight never share one.
+
+    Names of another ``family`` are independent: two words that share a name of each are equal but for one chance in 2^128.
+    """
+    size = last - first
+    data = np.concatenate([_LOWER[buf] if lower else buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    out = mixed((size.astype(np.uint64) + MIX[family]) * MIX[3 - family])
+    mine, at = np.flatnonzero((size > 0) & (size <= _LONG)), 0
+    while len(mine):
+        piece = eight[first[mine] + at] & _PIECE[np.minimum(size[mine] - at, 8)]
+        out[mine] = mixed(out[mine] ^ piece)
+        at += 8
+        mine = mine[size[mine] > at]
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[first[i] : last[i]].tobytes(), int(out[i]))
+    return out
 
 
 def cuts(keys: np.ndarray) -> np.ndarray:

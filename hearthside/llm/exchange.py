@@ -10,16 +10,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthside.llm.common import cuts, mixed, row_id, unpacked
+from hearthside.llm.common import cuts, mixed, parts, row_id, unpacked
 
 SENT = "bucket int, names binary, blocks binary, docs binary"
 #: kind 0: names shared with another document; 1: those of so many documents that their windows are dealt out singly;
 #: 2: window masks
-REPLY = "block int, kind int, names binary, bits binary"
+REPLY = "block int, kind int, names binary, checks binary, bits binary"
+#: Bytes of text that a block should hold.
+BLOCK_BYTES = 16 << 20
+
+
+def blocks_for(docs: DataFrame) -> int:
+    """Number of blocks: one a shuffle partition, and more where these would hold more than ``BLOCK_BYTES`` of text."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0]
+    return max(parts(docs.sparkSession), -(-(size or 0) // BLOCK_BYTES))
 
 
 def block_of(n: int) -> Column:
-    return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    """Rows of one id, and rows without one, are spread by their texts."""
+    return F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int")
 
 
 def blocked(docs: DataFrame, n: int) -> DataFrame:
@@ -58,19 +67,19 @@ def sent(names: np.ndarray, docs: np.ndarray, blocks: np.ndarray, n: int) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["bucket", "names", "blocks", "docs"])
 
 
-def replies(blocks: np.ndarray, kinds: np.ndarray, names: np.ndarray, bits: np.ndarray | None = None) -> pa.Table:
-    """Names packed by block and kind."""
+def replies(blocks: np.ndarray, kinds: np.ndarray, names: np.ndarray, checks: np.ndarray | None = None, bits: np.ndarray | None = None) -> pa.Table:
+    """Names, their second names and bits packed by block and kind."""
     key = blocks.astype(np.int64) * 4 + kinds
     order = np.argsort(key, kind="stable")
     edge = cuts(key[order])
-    out = [[], [], [], []]
+    out = [[], [], [], [], []]
     for a, b in zip(edge[:-1], edge[1:]):
         mine = order[a:b]
-        cells = (int(key[mine[0]]) >> 2, int(key[mine[0]]) & 3, names[mine].tobytes(), b"" if bits is None else bits[mine].tobytes())
-        for o, v in zip(out, cells):
+        cells = [b"" if x is None else x[mine].tobytes() for x in (names, checks, bits)]
+        for o, v in zip(out, (int(key[mine[0]]) >> 2, int(key[mine[0]]) & 3, *cells)):
             o.append(v)
-    types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.table([pa.array(o, k) for o, k in zip(out, types)], names=["block", "kind", "names", "bits"])
+    types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(o, k) for o, k in zip(out, types)], names=["block", "kind", "names", "checks", "bits"])
 
 
 def shared_names(rows: DataFrame, many: int | None = None) -> DataFrame:
@@ -115,10 +124,39 @@ def found_at(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.nd
     return ordered[at] == values, at
 
 
-def lowest(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the place of each one's first row by id, and for every row its key's number."""
-    order = np.lexsort((ids, keys))
-    edge = cuts(keys[order])
+def found_pairs(names: np.ndarray, checks: np.ndarray, of: np.ndarray, of_checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (name, second name) are among the pairs ``of``, and where."""
+    order = np.lexsort((of_checks, of))
+    of, of_checks = of[order], of_checks[order]
+    hit, at = found_at(names, of)
+    todo = np.flatnonzero(hit)
+    while len(todo):  # further pairs of a name are rare
+        todo = todo[of_checks[at[todo]] != checks[todo]]
+        at[todo] += 1
+        ends = at[todo] >= len(of)
+        ends[~ends] = of[at[todo[~ends]]] != names[todo[~ends]]
+        hit[todo[ends]] = False
+        todo = todo[~ends]
+    return hit, order[np.minimum(at, len(of) - 1)] if len(of) else at
+
+
+def lowest(keys: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the first row by id of each distinct pair (key, check), and for every row its pair's number."""
+    order = np.argsort(keys)
+    k, c = keys[order], checks[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = k[1:] != k[:-1]
+    if ((c[1:] != c[:-1]) & ~new[1:]).any():  # a key with several checks, which is rare
+        order = np.lexsort((checks, keys))
+        k, c = keys[order], checks[order]
+        new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
+    group = np.cumsum(new) - 1
     number = np.empty(len(keys), np.int64)
-    number[order] = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-    return keys[order[edge[:-1]]], order[edge[:-1]], number
+    number[order] = group
+    if not len(keys):
+        return order, number
+    least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
+    hits = np.flatnonzero(ids[order] == least[group])
+    first = np.ones(len(hits), bool)
+    first[1:] = group[hits[1:]] != group[hits[:-1]]
+    return order[hits[first]], number

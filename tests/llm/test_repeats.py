@@ -7,7 +7,8 @@ import re
 import numpy as np
 import pytest
 
-from hearthside.llm import recompression, suffix_dedup
+from hearthside.llm import exchange, recompression, suffix_dedup
+from hearthside.llm.common import word_names
 
 ODD = [(None, "x" * 60), (900, None), (901, ""), (902, "ab" * 200), (903, "x" + "ab" * 100), (904, "a" * 500), (905, "a" * 49), (906, "a" * 50),
        (906, "a" * 50), (907, "w " * 40), (908, "w " * 13 + "v"), (909, "\x0b w\t\n" * 30), (910, "é" * 40), (911, "x" + "é" * 40), (912, "p q " * 30), (913, "q p " * 30)]
@@ -99,13 +100,56 @@ def test_refined_buckets_are_equal_substrings(length):
 
 def test_equal_word_sequences_get_equal_inner_symbols():
     rng = np.random.default_rng(3)
-    core = rng.integers(0, 3, 40)
-    found = []
+    core = rng.integers(0, 3, 400)
+    found = [[] for _ in range(4)]
     for _ in range(20):
         left, right = (rng.integers(0, 3, rng.integers(0, 9)) for _ in range(2))
         names = np.concatenate([left, core, right]).astype(np.uint64)
-        name, lo, hi = recompression.symbols(names, np.zeros(len(names), np.int64))
-        inside = (lo >= len(left)) & (hi < len(left) + len(core))
-        found.append(set(zip(name[inside].tolist(), (lo[inside] - len(left)).tolist(), (hi[inside] - len(left)).tolist())))
-    shared = set.intersection(*found)
-    assert all(f == shared for f in found) and shared
+        for level, (name, lo, hi) in enumerate(recompression.symbols(names, np.zeros(len(names), np.int64), 4)):
+            assert (np.diff(lo) >= 0).all() and (np.diff(hi) >= 0).all()
+            inside = (lo >= len(left)) & (hi < len(left) + len(core))
+            found[level].append(set(zip(name[inside].tolist(), (lo[inside] - len(left)).tolist(), (hi[inside] - len(left)).tolist())))
+    for level in found:
+        shared = set.intersection(*level)
+        assert all(f == shared for f in level) and shared
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: 98, 98: 97})
+    return word
+
+
+@pytest.mark.parametrize("n", [8, 64, 1024, 2048, 8192])
+@pytest.mark.parametrize("family", [0, 1])
+def test_thue_morse_words_have_different_names(n, family):
+    word = thue_morse(n)
+    pair = [word.encode(), word.translate({97: 98, 98: 97}).encode()]
+    buf, size = np.frombuffer(b"".join(pair), np.uint8), len(word)
+    names = word_names(buf, np.array([0, size]), np.array([size, 2 * size]), family=family)
+    assert names[0] != names[1]
+
+
+def test_thue_morse_windows_are_kept(spark):
+    word = thue_morse(1024)
+    other = word.translate({97: 98, 98: 97})
+    docs = spark.createDataFrame([(1, " ".join([word] * 13)), (2, " ".join([other] * 13)), (3, f"x {word}"), (4, f"x {other}")], "doc_id long, text string")
+    assert [r["n_removed"] for r in recompression.digests(recompression.remove_repeats(docs)).collect()] == [0] * 4
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.digests(suffix_dedup.remove_repeats(docs)).collect()}
+    want = {d: g for d, _, g, _, _ in brute([(r[0], r[1]) for r in docs.collect()], lambda t: list(t.encode()), 50)}
+    assert got == want
+
+
+def test_names_with_one_first_half_stay_apart():
+    names, checks = np.array([5, 5, 5, 9], np.uint64), np.array([1, 2, 1, 1], np.uint64)
+    first, number = exchange.lowest(names, checks, np.array([7, 1, 3, 2]))
+    assert first.tolist() == [2, 1, 3] and number.tolist() == [0, 1, 0, 2]
+    hit, at = exchange.found_pairs(names, checks, np.array([9, 5, 5], np.uint64), np.array([2, 2, 3], np.uint64))
+    assert hit.tolist() == [False, True, False, False] and at[1] == 1
+
+
+def test_rows_without_id_and_of_one_id_are_spread(spark):
+    rows = [(None, f"text {i} " * 9) for i in range(400)] + [(7, f"word {i} " * 9) for i in range(400)]
+    blocks = exchange.blocked(spark.createDataFrame(rows, "doc_id long, text string"), 8).groupBy("block").count().collect()
+    assert len(blocks) == 8 and max(r["count"] for r in blocks) < 200
