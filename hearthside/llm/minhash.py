@@ -6,22 +6,27 @@ corrected for lanes that are equal by chance, and pairs clearly below the thresh
 full sets.
 
 Pairs are not expanded within a group. A band's sets are first compared with its most central one, and the links found
-are contracted to components. Only then sets of one band that are still in different components meet, in square tiles
-of bounded size, so no link between components is lost and members of one component are never compared again.
+are contracted to components. Only then sets of one band that are still in different components meet, in tiles of bounded
+size: all sets of the group on one side, those outside of its largest component on the other, so no link between
+components is lost and members of one component are never compared again. Tiles of packed signatures come first; only the
+sets that have a likely partner there meet once more in full.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthside.llm.common import LAST_ID, MIX, mixed, parts, row_id, slices, stored, text_bytes, word_names, words
 from hearthside.llm.components import components
 
 HASHES, BANDS, BITS = 128, 32, 8
-TILE = 512
+#: Rows of signatures, and bytes of full sets, on one side of a tile.
+TILE, TILE_BYTES = 4096, 16 << 20
+#: Bytes of text whose shingles are in memory at a time.
+_SLICE = 2 << 20
 #: Standard errors that a pair's estimate may lie under the threshold before it goes without a full comparison.
 MARGIN = 5.5
 #: Lanes of the signature of sets that stay in different components after the star round.
@@ -86,7 +91,7 @@ def _low_bits(minima: np.ndarray) -> pa.Array:
 
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, size=_SLICE):
         at, keys = shingle_sets(batch.column(1), size)
         full = np.flatnonzero(np.diff(at))
         minima = _minima(at, keys, HASHES)
@@ -146,10 +151,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, set, n, long): shingle set, its size and its long signature, of one row of each id in ``ids``."""
+    """(id, set, n, long): shingle set, its size and its long signature, of one row of each id in ``ids``.
+
+    The written ids filter the scan before the texts are shuffled.
+    """
+    wanted = stored(ids, "wanted-ids").where(F.col("id") >= F.lit(-(2**63)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=_SLICE):
             at, keys = shingle_sets(batch.column(1), size)
             cells = [keys[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -157,35 +166,78 @@ def _full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 names=["id", "set", "n", "long"],
             )
 
-    found = docs.join(ids, "id", "left_semi").select("id", "text").dropDuplicates(["id"])
+    found = docs.join(wanted, "id", "left_semi").select("id", "text").dropDuplicates(["id"])
     return found.mapInArrow(run, "id long, set binary, n long, long binary")
 
 
+def _tiled(rows: DataFrame, weight: Column, limit: int) -> DataFrame:
+    """``rows`` (centre, id, component, n) of the groups with several components, in tiles: deal, tile, left and the columns.
+
+    The sets outside of the largest component of a group (left) meet all its sets. Either side is cut so that a part weighs
+    about ``limit``, and a left part meets every right part in a tile of its own.
+    """
+    shares = rows.groupBy("centre", "component").agg(F.sum(weight).alias("w"))
+    groups = shares.groupBy("centre").agg(
+        F.max(F.struct("w", "component")).alias("most"), F.sum("w").alias("all"), F.count("*").alias("parts")
+    ).where("parts > 1")
+    cut = lambda w: F.ceil(w / limit).cast("int")
+    sides = groups.select("centre", F.col("most.component").alias("major"), cut(F.col("all")).alias("rights"), cut(F.col("all") - F.col("most.w")).alias("lefts"))
+    both = rows.join(sides, "centre")
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    place = lambda left, i, j: F.struct(F.lit(left).alias("left"), i.alias("i"), j.alias("j"))
+    right = F.transform(F.sequence(F.lit(0), F.col("lefts") - 1), lambda i: place(False, i, part("rights")))
+    left = F.transform(F.sequence(F.lit(0), F.col("rights") - 1), lambda j: place(True, part("lefts"), j))
+    at = F.explode(F.when(F.col("component") == F.col("major"), right).otherwise(F.concat(right, left)))
+    placed = both.select("centre", "id", "component", "n", at.alias("at")).select("centre", "at.*", "id", "component", "n")
+    return placed.withColumn("deal", F.pmod(F.xxhash64("centre", "i", "j"), F.lit(8 * parts(rows.sparkSession))))
+
+
+def _tiles_of(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the left and of the right rows of every tile of the group."""
+    key = [np.asarray(group[c]) for c in ("j", "i", "centre")]
+    left = np.asarray(group["left"])
+    order = np.lexsort(key)
+    starts = np.flatnonzero(np.any([k[order][1:] != k[order][:-1] for k in key], axis=0)) + 1
+    for tile in np.split(order, starts):
+        if len(tile):
+            yield tile[left[tile]], tile[~left[tile]]
+
+
+def _fitting(x: int, right: np.ndarray, comp: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """The rows of other components whose sizes allow a link with row x."""
+    return right[(100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x])) & (comp[right] != comp[x])]
+
+
+def _likely(group: pa.Table, percent: int) -> pa.Table:
+    """(centre, id, component, n) of the sets with a partner in another component whose packed signature allows a link."""
+    ids, comp, n = (np.asarray(group[c]) for c in ("id", "component", "n"))
+    lanes = text_bytes(group["signature"])[0].reshape(-1, HASHES)
+    least, some = _least(percent / 100), np.zeros(len(ids), bool)
+    for left, right in _tiles_of(group):
+        for x in left:
+            y = _fitting(x, right, comp, n, percent)
+            y = y[estimate(lanes[x][None, :], lanes[y]) >= least]
+            some[y] = True
+            some[x] |= len(y) > 0
+    return group.select(["centre", "id", "component", "n"]).filter(pa.array(some))
+
+
 def _tile_links(group: pa.Table, percent: int) -> pa.Table:
     """Links that join components, in each tile of the group.
 
-    A pair is looked at by size, by its short and its long signature, and then by its full sets. Components that a link
-    has joined are not compared again, so a tile gives fewer links than it has sets.
+    A pair is looked at by size, by its long signature, and then by its full sets. Components that a link has joined are
+    not compared again, so a tile gives fewer links than it has sets.
     """
-    threshold = percent / 100
-    centre, i, j, mine, ids, comp, n = (np.asarray(group[c]) for c in ("centre", "i", "j", "mine", "id", "component", "n"))
+    ids, comp, n = (np.asarray(group[c]) for c in ("id", "component", "n"))
     comp = comp.copy()
     lanes = text_bytes(group["long"])[0].reshape(-1, LONG)
     data, at = text_bytes(group["set"])
-    order = np.lexsort((mine, j, i, centre))
-    key = np.stack([centre[order], i[order], j[order]])
-    starts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
     links = []
-    for tile in np.split(order, starts):
-        if not len(tile) or (comp[tile] == comp[tile[0]]).all():
-            continue
-        one = i[tile[0]] == j[tile[0]]
-        left, right = (tile, tile) if one else (tile[mine[tile] == i[tile[0]]], tile[mine[tile] == j[tile[0]]])
+    for left, right in _tiles_of(group):
+        tile = np.concatenate([left, right])
         for x in left:
-            fits = (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x])) & (comp[right] != comp[x])
-            y = right[fits & (ids[right] > ids[x])] if one else right[fits]
-            y = y[estimate(lanes[x, :HASHES][None, :], lanes[y, :HASHES]) >= _least(threshold)]
-            y = y[estimate(lanes[x][None, :], lanes[y]) >= _least(threshold, LONG)]
+            y = _fitting(x, right, comp, n, percent)
+            y = y[estimate(lanes[x][None, :], lanes[y]) >= _least(percent / 100, LONG)]
             own = data[at[x] : at[x + 1]].view(np.uint64)
             for z in y:
                 if comp[z] == comp[x]:
@@ -212,8 +264,8 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     rows = docs.select(row_id().alias("id"), F.col("text").cast("string").alias("text"))
     threshold = percent / 100
     signed = stored(rows.mapInArrow(lambda b: _signed(b, size), SETS), "signatures")
-    classes = signed.where((F.col("n_shingles") > 0) & (F.col("id") != F.lit(LAST_ID))).groupBy("set_key").agg(F.min(F.struct("id", "signature", "bands")).alias("m"))
-    heads = stored(classes.select("set_key", "m.id", "m.signature", "m.bands"), "set-classes")
+    classes = signed.where((F.col("n_shingles") > 0) & (F.col("id") != F.lit(LAST_ID))).groupBy("set_key").agg(F.min(F.struct("id", "signature", "bands", "n_shingles")).alias("m"))
+    heads = stored(classes.select("set_key", "m.id", "m.signature", "m.bands", F.col("m.n_shingles").alias("n")), "set-classes")
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,21 +290,15 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     links = stored(_confirmed(pairs, sets.select("id", "set"), percent), "star-links")
     found = stored(components(links), "star-components")
 
-    # sets of bands with one centre that are in different components meet in tiles of at most TILE by TILE sets
+    # sets of bands with one centre that are in different components meet in tiles
     grouped = members.join(centre, "band").select("centre", "id").distinct()
     placed = grouped.join(found.toDF("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_groups = placed.groupBy("centre").agg(
-        F.count("*").alias("count"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo != hi")
-    open_rows = stored(placed.join(open_groups.select("centre", "count"), "centre"), "open-rows")
+    placed = stored(placed.join(heads.select("id", "n"), "id").select("centre", "id", "component", "n"), "placed-sets")
+    narrow = _tiled(placed, F.lit(1), TILE).join(heads.select("id", "signature"), "id")
+    likely = narrow.groupBy("deal").applyInArrow(lambda g: _likely(g, percent), "centre long, id long, component long, n long")
+    open_rows = stored(likely.distinct(), "open-sets")
     known = sets.unionByName(stored(_full_sets(rows, open_rows.select("id").distinct().join(sets, "id", "left_anti"), size), "sets"))
-    n_tiles = F.ceil(F.col("count") / TILE).cast("int")
-    tiled = open_rows.withColumn("mine", F.pmod(F.xxhash64("id"), n_tiles).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), n_tiles - 1))
-    )
-    tiles = tiled.select(
-        "centre", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "component"
-    ).withColumn("deal", F.pmod(F.xxhash64("centre", "i", "j"), F.lit(8 * parts(docs.sparkSession)))).join(known, "id")
+    tiles = _tiled(open_rows, 8 * F.col("n") + LONG + 100, TILE_BYTES).join(known.select("id", "set", "long"), "id")
     links2 = stored(tiles.groupBy("deal").applyInArrow(lambda g: _tile_links(g, percent), "a long, b long"), "rest-links")
     merged = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links2)), "components")
 

@@ -91,6 +91,7 @@ def near_rows(seed=2):
 @pytest.mark.parametrize("size,tile", [(2, 512), (5, 512), (2, 4)])
 def test_near(spark, monkeypatch, size, tile):
     monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "TILE_BYTES", tile * 1000)
     rows = near_rows()
     docs = spark.createDataFrame([(d, t, "clash") for d, t in rows], "doc_id long, text string, signature string").repartition(3)
     assert sorted(map(tuple, near_groups(docs, size, 80).collect())) == brute(rows, size, 80)
@@ -117,3 +118,12 @@ def test_estimate_is_corrected_for_chance():
     x, y = rng.integers(0, 256, (2, 20_000)).astype(np.uint8)
     assert abs(minhash.estimate(x, y)) < 0.01 and minhash.estimate(x, x) == 1
 
+
+
+def test_disjoint_sets_of_look_alike_words_are_not_linked(spark):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    docs = spark.createDataFrame([(1, f"{word} {word} {word}"), (2, f"{other} {other} {other}")], "doc_id long, text string")
+    assert sorted(map(tuple, near_groups(docs, 2).collect())) == [(1, 1, 1, True), (2, 1, 2, True)]
