@@ -100,12 +100,12 @@ def learnable(labels: DataFrame) -> DataFrame:
     return labels.where(F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, max_terms: int = 4096) -> FactorizationMachine:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, least_chi: float = 8.0) -> FactorizationMachine:
     """Learn ``labels.toxic`` from at most ``max_rows`` labelled rows (those with the smallest hash of their id).
 
     ``labels`` are filtered by the caller (see ``learnable``); rows with a null id or label and ids whose labels
-    contradict each other are left out. Of the terms, the at most ``max_terms`` whose presence tells the label best
-    (chi-square over the sample, 8 at least) enter the machine. Without labelled rows the score is constant.
+    contradict each other are left out. Every term of the sample whose presence tells anything about the label (chi-square
+    of ``least_chi`` or more; less is what chance gives) enters the machine. Without labelled rows the score is constant.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.min("toxic").alias("y"), F.max("toxic").alias("y2")
@@ -155,10 +155,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, max_terms: i
         total, have = n1 + n0, a + b
         chi = total * (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(1.0, have * (total - have) * float(n1) * n0)
         found = pd.DataFrame({"term": both.index.astype("int64"), "chi": chi})
-        return found[found["chi"] >= 8].sort_values(["chi", "term"], ascending=[False, True]).head(max_terms)
+        return found[found["chi"] >= least_chi]
 
     scored = data.mapInArrow(counted, "part int, y int, counts binary").groupBy("part").applyInPandas(best, "term long, chi double")
-    keys = np.array(sorted(r["term"] for r in scored.orderBy(F.desc("chi"), "term").limit(max_terms).collect()), np.int64)
+    keys = np.array(sorted(r["term"] for r in scored.collect()), np.int64)
     machine = FactorizationMachine(keys, 0.0, np.zeros(len(keys)), np.zeros((len(keys), 1)))
 
     def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,13 +167,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, max_terms: i
             rows = np.repeat(np.arange(len(cells)), [len(c) // 4 for c in cells])
             rows, index = machine.known(rows, unpacked(cells, np.int32).astype(np.int64))
             at = np.searchsorted(rows, np.arange(len(cells) + 1))
-            packed = [index[a:b].astype(np.int16).tobytes() for a, b in zip(at[:-1], at[1:])]
+            packed = [index[a:b].astype(np.int32).tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["y", "terms"])
 
-    few = data.mapInArrow(narrowed, "y int, terms binary").toPandas()  # at most max_rows rows of at most max_terms numbers
+    few = data.mapInArrow(narrowed, "y int, terms binary").toPandas()  # at most max_rows rows of their telling terms
     few = few.sort_values(["y", "terms"])  # an order that does not depend on the tasks
-    rows = np.repeat(np.arange(len(few)), [len(c) // 2 for c in few["terms"]])
-    return fit_machine(keys, rows, unpacked(few["terms"], np.int16).astype(np.int64), few["y"].to_numpy(float))
+    rows = np.repeat(np.arange(len(few)), [len(c) // 4 for c in few["terms"]])
+    return fit_machine(keys, rows, unpacked(few["terms"], np.int32).astype(np.int64), few["y"].to_numpy(float))
 
 
 def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
