@@ -19,13 +19,14 @@ ROUNDS = 8
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z0-9-]{2,}+",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=(?i:password=))[A-Za-z0-9]{6,}+|(?<=(?i:token = \"))[A-Za-z0-9]{16,}+(?=\")",
+    "secret": r"(?<=(?i:password) ?[=:] ?)[A-Za-z0-9]{6,}+|(?<=(?i:token = \"))[A-Za-z0-9]{16,}+(?=\")",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./](?:19|20)[0-9]{2})(?![0-9/-])",
+    "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}([-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}[./][0-9]{2}[./](?:19|20)[0-9]{2})(?![0-9/-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
+    "abroad": r"(?<![0-9A-Za-z+])\+(?!1[ .-])[1-9][0-9](?:[ .-]?[0-9]{2,5}){2,5}(?![0-9])",
     "phone": r"(?<![0-9+])(?:\+1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|(?!(?:[0-9]{1,3}[ -]){1,3}(?:[0-9]{13,}|[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9])))[0-9](?:[ -]?[0-9]){12,18})(?![0-9A-Za-z])",
 }
 SPAN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # days from 1900-01-01 that a date is permuted in: 250 * 292 = 73,000, to 2099-11-12
@@ -42,8 +43,16 @@ def _let(value: Column, use) -> Column:
 
 
 def feistel(cells: Column, key: str, kind: str, restore: bool = False) -> Column:
-    """Permute an array of (v, m) cells; a single cell stays."""
-    return _let(cells, lambda c: _feistel(c, key, kind, restore))
+    """Permute an array of (v, m) cells. A single cell, which has no halves, takes its place in a keyed order of its values."""
+    return _let(cells, lambda c: F.when(F.size(c) == 1, _shuffled(c, key, kind, restore)).otherwise(_feistel(c, key, kind, restore)))
+
+
+def _shuffled(cells: Column, key: str, kind: str, restore: bool) -> Column:
+    v, m = cells[0]["v"], cells[0]["m"]
+    mark = lambda x: F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), F.lit("single"), m.cast("string"), x.cast("string")), 256)
+    order = F.transform(F.array_sort(F.transform(F.sequence(F.lit(0).cast("bigint"), m - 1), lambda x: F.struct(mark(x).alias("h"), x.alias("x")))), lambda p: p["x"])
+    new = F.array_position(order, v) - 1 if restore else F.element_at(order, (v + 1).cast("int"))
+    return F.array(_cell(new, m))
 
 
 def _feistel(cells: Column, key: str, kind: str, restore: bool) -> Column:
@@ -110,8 +119,6 @@ def _put(cells: Column, like: Column) -> Column:
     return F.array_join(F.transform(_chars(like), put), "")
 
 
-
-
 def _alnum(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9A-Za-z]", "")
 
@@ -162,8 +169,8 @@ def _iban(s: Column, key: str, restore: bool) -> Column:
 
 
 def _date_of(s: Column) -> Column:
-    iso = s.substr(5, 1) == "-"
-    return F.when(iso, F.try_to_date(s, "yyyy-MM-dd")).otherwise(F.try_to_date(F.regexp_replace(s, r"[./]", "-"), "dd-MM-yyyy"))
+    iso = s.substr(5, 1).isin("-", "/")
+    return F.when(iso, F.try_to_date(F.regexp_replace(s, "/", "-"), "yyyy-MM-dd")).otherwise(F.try_to_date(F.regexp_replace(s, r"[./]", "-"), "dd-MM-yyyy"))
 
 
 def _date(s: Column, key: str, restore: bool) -> Column:
@@ -175,6 +182,7 @@ def _date(s: Column, key: str, restore: bool) -> Column:
     def written(day: Column) -> Column:
         return (
             F.when(s.substr(5, 1) == "-", F.date_format(day, "yyyy-MM-dd"))
+            .when(s.substr(5, 1) == "/", F.date_format(day, "yyyy/MM/dd"))
             .when(s.substr(3, 1) == ".", F.date_format(day, "dd.MM.yyyy"))
             .otherwise(F.date_format(day, "dd/MM/yyyy"))
         )
@@ -198,6 +206,11 @@ def _phone(s: Column, key: str, restore: bool) -> Column:
     return _spelled(F.concat(_char_cells(digits.substr(F.lit(1), F.length(digits) - 10)), new), s)
 
 
+def _abroad(s: Column, key: str, restore: bool) -> Column:
+    """A number with another country code: its first two digits stay."""
+    return F.concat(s.substr(1, 3), _permuted(F.substring(s, F.lit(4), F.length(s)), key, "abroad", restore))
+
+
 def _email(s: Column, key: str, restore: bool) -> Column:
     """The local part; the domain stays."""
     local = F.substring_index(s, "@", 1)
@@ -215,6 +228,7 @@ def _kind(s: Column) -> Column:
         .when(s.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.when(~s.rlike("^(?:000|666|9)|-00-|0000$"), F.lit("ssn")))
         .when(only("date"), F.when((days >= 0) & (days < DAY_CELLS[0] * DAY_CELLS[1]), F.lit("date")))
         .when(only("ip"), F.when(octets, F.lit("ip")))
+        .when(only("abroad"), F.lit("abroad"))
         .when(only("phone"), F.lit("phone"))
         .when(s.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), F.when(_mod97(F.concat(s.substr(F.lit(5), F.length(s) - 4), s.substr(1, 4))) == 1, F.lit("iban")))
         .when(only("card"), F.when((F.pmod(_luhn(_digits(s), 1), F.lit(10)) == 0), F.lit("card")))
@@ -244,6 +258,7 @@ def pseudonym(s: Column, kind: Column, key: str, restore: bool = False) -> Colum
         "email": _email,
         "date": _date,
         "ip": _ip,
+        "abroad": _abroad,
         "phone": _phone,
         "ssn": _ssn,
         "iban": _iban,
@@ -264,7 +279,7 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", restore:
     Spans that fail validation stay. Letters outside A-Z and the domain of an address stay.
     """
     text = F.col(text_column)
-    marked = text.rlike('[0-9@]|AKIA|ASIA|(?i:password=|token = ")')
+    marked = text.rlike('[0-9@]|AKIA|ASIA|(?i:password|token = ")')
     found = F.when(marked, F.regexp_extract_all(text, F.lit(SPAN), F.lit(0))).otherwise(F.array().cast("array<string>"))
     spans = F.transform(found, lambda s: F.struct(s.alias("s"), _kind(s).alias("kind")))
     new = F.transform(
