@@ -38,23 +38,21 @@ def rule_for(rules: dict[str, str], host: Column, path: Column) -> Column:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """Distinct (source, target) of links between different hosts, and both ways between a host and its parent hosts.
+    """Distinct (source, target) of links between different hosts, and both ways between a host and its parent domains.
 
-    ``pages``: host, html. Links without a host lead to the own one and make no edge. Edges are made distinct in each
+    ``pages``: host, html. Links without a host lead to the own one and make no edge. A domain of two labels or more is a
+    node whether or not it has pages, so hosts of one domain are neighbours by way of it. Edges are made distinct in each
     task before the shuffle.
     """
     targets = F.array_distinct(F.regexp_extract_all(F.col("html"), F.lit(LINK), F.lit(1)))
     linked = pages.where(F.col("html").contains("//")).select(F.col("host").alias("source"), F.explode(targets).alias("target"))
     linked = linked.select("source", F.translate("target", UPPER, LOWER).alias("target")).distinct()
-    hosts = pages.select("host").distinct()
     labels = F.split("host", r"\.")
     above = F.transform(
-        F.sequence(F.lit(2), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+        F.sequence(F.lit(2), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
-    parents = (
-        hosts.where(F.size(labels) > 1).select(F.col("host").alias("source"), F.explode(above).alias("target"))
-        .join(hosts.select(F.col("host").alias("target")), "target", "left_semi").select("source", "target")
-    )
+    hosts = pages.select("host").union(linked.select("target")).distinct().where(F.size(labels) > 2)
+    parents = hosts.select(F.col("host").alias("source"), F.explode(above).alias("target"))
     both = linked.union(parents).union(parents.select(F.col("target").alias("source"), F.col("source").alias("target")))
     return both.where("source != target and source != '' and target != ''").distinct()
 
