@@ -188,16 +188,44 @@ def parsed(record: bytes) -> tuple:
     return number("X-Row-Id"), fields.get("WARC-Target-URI"), kind, number("X-Refers-To-Row"), number("X-Payload-Length"), digest, sound
 
 
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """``name, records, bytes, sha256`` of the archive's files. An archive without a manifest is not complete: an error."""
+    rows = spark.read.schema("final string, records long, bytes long, sha256 string").json(f"{folder}/manifest.json")
+    return rows.select(_name("final"), "records", "bytes", "sha256")
+
+
+def _name(path: str):
+    return F.regexp_extract(path, "[^/]+$", 0).alias("name")
+
+
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """A row per record of the files in ``folder``; ``verified``: block and payload have the digests in the headers."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("content")
+    """A row per record of the files in the manifest; ``verified``: block and payload have the digests in the headers.
+
+    The files must be those of the manifest: a missing or an unlisted one, or another size, fails at once; another SHA-256
+    or number of records fails the job that reads the file. A page without an id or url has null there. An archive of no
+    pages has an empty manifest and gives no rows.
+    """
+    listed = read_manifest(spark, folder)
+    if listed.isEmpty():
+        return spark.createDataFrame([], RECORDS)
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
+    odd = listed.join(there.select(_name("path"), F.col("length").alias("found")), "name", "full").where("bytes IS NULL OR found IS NULL OR bytes <> found")
+    if wrong := odd.limit(5).collect():
+        raise ValueError(f"archive and manifest differ: {[r['name'] for r in wrong]}")
+    # one row per file: Spark sends the manifest to the files or, where it is long, joins by name
+    files = there.select(_name("path"), "content").join(listed, "name").select("content", "records", "sha256")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in RECORDS.split(", ")]
         kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
         for batch in batches:
-            for content in batch.column(0):
-                found = [parsed(m) for m in members(content.as_py())]
+            for content, records, digest in zip(*batch.columns):
+                content = content.as_py()
+                if hashlib.sha256(content).hexdigest() != digest.as_py():
+                    raise ValueError("a file of the archive has not the digest of the manifest")
+                found = [parsed(m) for m in members(content)]
+                if len(found) != records.as_py():
+                    raise ValueError("a file of the archive has not the records of the manifest")
                 cols = list(zip(*found)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 

@@ -96,3 +96,45 @@ def test_propagation_against_plain_iteration(spark):
 def test_parent_hosts_are_neighbours(spark):
     pages = spark.createDataFrame([("a.b.org", ""), ("b.org", None), ("c.org", "")], "host string, html string")
     assert {tuple(r) for r in host_edges(pages).collect()} == {("a.b.org", "b.org"), ("b.org", "a.b.org")}
+    # two hosts of a domain without pages of its own meet there
+    pages = spark.createDataFrame([("m.x.co.uk", ""), ("w.x.co.uk", '<a href="http://a.z.org/">')], "host string, html string")
+    found = {tuple(r) for r in host_edges(pages).collect()}
+    assert {("m.x.co.uk", "x.co.uk"), ("x.co.uk", "w.x.co.uk"), ("w.x.co.uk", "a.z.org"), ("a.z.org", "z.org")} <= found
+    assert not any("uk" in e or "org" in e for e in found)
+
+
+def test_distrust_reaches_hosts_of_a_domain(spark):
+    rows = [(1, "http://a.net/"), (2, "http://b.shop.biz/"), (3, "http://c.shop.biz/"), (4, "http://else.biz/")]
+    html = {2: "<a href='http://a.net/'>x</a>"}
+    pages = spark.createDataFrame([(i, u, html.get(i)) for i, u in rows], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in judge(pages, RULES, threshold=0.01).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
+@pytest.mark.parametrize("damage", ["missing", "unlisted", "longer", "changed", "manifest"])
+def test_damaged_archives_are_errors(spark, tmp_path, damage):
+    folder = tmp_path / "w"
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}</p>" * 50) for i in range(40)], "page_id long, url string, html string")
+    write_archive(pages, str(folder), roll_bytes=1500, shards=3)
+    assert read_archive(spark, str(folder)).count() == 40
+    files = sorted(folder.glob("*.warc.gz"))
+    if damage == "missing":
+        files[0].rename(tmp_path / "gone")
+    elif damage == "unlisted":
+        (folder / "part-999.warc.gz").write_bytes(files[0].read_bytes())
+    elif damage == "longer":
+        files[0].write_bytes(files[0].read_bytes() * 2)
+    elif damage == "changed":
+        files[0].write_bytes(bytes([files[0].read_bytes()[0]]) + files[0].read_bytes()[1:-1] + b"x")
+    else:
+        (folder / "manifest.json").rename(tmp_path / "gone")
+    for crc in folder.glob(".*.crc"):
+        crc.rename(tmp_path / f"crc{crc.name}")
+    with pytest.raises(Exception, match="differ|manifest|PATH_NOT_FOUND"):
+        read_archive(spark, str(folder)).collect()
+
+
+def test_empty_archive(spark, tmp_path):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    write_archive(pages, str(tmp_path / "w"))
+    assert read_archive(spark, str(tmp_path / "w")).collect() == []
