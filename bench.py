@@ -21,6 +21,7 @@ HEADLINE = [
     "verdicts", "deal_rank", "compare_norm", "extracted_english", "extracted_arabic", "delivery_months", "coverage_report",
     "null_report", "fill_mean", "outlier_iqr", "one_hot", "ratio_features", "prompt_batches", "page_text", "page_links",
     "page_record", "resumed_ingest", "stateful_ingest", "csv_round_trip", "map_centre", "text_clean", "target_encoded", "standard_scaled", "regression_metrics", "incremental_ingest",
+    "fold_encoded", "linear_by_area", "search_keyset", "ingest_versions", "merged_statistics", "delivery_steps",
 ]
 
 
