@@ -153,3 +153,11 @@ def test_rows_without_id_and_of_one_id_are_spread(spark):
     rows = [(None, f"text {i} " * 9) for i in range(400)] + [(7, f"word {i} " * 9) for i in range(400)]
     blocks = exchange.blocked(spark.createDataFrame(rows, "doc_id long, text string"), 8).groupBy("block").count().collect()
     assert len(blocks) == 8 and max(r["count"] for r in blocks) < 200
+
+
+def test_the_largest_long_is_an_id(spark):
+    largest = 2**63 - 1
+    rows = [(1, "a" * 60), (largest, "a" * 60), (largest, "b" * 70), (None, "c" * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.digests(suffix_dedup.remove_repeats(docs, blocks=3)).collect()]
+    assert sorted(got, key=str) == sorted([(1, 60, 0), (largest, 60, 60), (largest, 70, 0), (None, 20, 0)], key=str)
