@@ -85,3 +85,16 @@ def test_rows_without_a_compare_set_are_one_set(spark):
     df = spark.createDataFrame([(None, 4.0), (None, 8.0), ("a", 5.0)], "place string, price_numeric double")
     found = normalise_to_max(df, "place", ["price_numeric"])
     assert sorted(r["price_numeric_pct"] for r in found.collect()) == [50.0, 100.0, 100.0]
+
+
+def test_listings_set_the_method_limit(spark, sf_dir):
+    from hearthside.plans.fixture import listings
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "65535")
+    try:
+        listings(spark, sf_dir)
+        assert spark.conf.get(name) == "8000"
+    finally:
+        spark.conf.set(name, before)
