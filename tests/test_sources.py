@@ -81,6 +81,21 @@ def test_spread_only_touches_small_scans(spark, sf_dir):
     assert readers.spread(wide) is wide
 
 
+def test_spread_deals_out_a_table_with_one_row_group_in_many_splits(spark, tmp_path):
+    path, limit = str(tmp_path / "one"), "spark.sql.files.maxPartitionBytes"
+    spark.range(200000, numPartitions=1).select("id", F.md5(F.col("id").cast("string")).alias("x")).write.parquet(path)
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "200000")
+    try:
+        scan = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        assert scan.rdd.getNumPartitions() >= cores
+        held = readers.spread(scan).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in held) == 200000 and max(r["count"] for r in held) <= 2 * 200000 / cores
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_session_and_checkpoint_folder(spark):
     assert build_session().sparkContext is spark.sparkContext
     ensure_checkpoint_dir(spark)
