@@ -5,7 +5,8 @@ digits, from the highest on. A pass counts the rows per group, measure and digit
 value in all earlier digits; a running sum over these counts names the digit that holds each wanted rank. After the last
 pass the digits are the value. Partial counts merge before the shuffle, so a group with a third of all rows, and values that
 lie close together, cost as much as any others: no window sees more than 2^22 counts. Every pass is one scan of the group
-keys and the measured columns for all groups and measures. Counts do not depend on task order, so re-run tasks give the same
+keys and the measures' numbers for all groups and measures; these are written once before, so that no pass repeats what they
+are made from. Counts do not depend on task order, so re-run tasks give the same
 answer.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearthside.session import settle
+from hearthside.session import cut_lineage, settle
 
 # fixed values: bits of the mantissa and the exponent's offset of a double
 MANTISSA, OFFSET = 52, 1023
@@ -62,14 +63,11 @@ def _long_form(df: DataFrame, by: list[str], measures: dict[str, Column]) -> Dat
     )
     for k in by:
         kept = kept.where(F.col(f"`{k}`").isNotNull())
+    kept = cut_lineage(kept.withColumns({f"_m{i}": ordered_bits(F.col(f"_m{i}")) for i in range(len(measures))}))
     if len(measures) == 1:
-        kept = kept.withColumn("_measure", F.lit(0)).withColumnRenamed("_m0", "_x")
-    else:
-        pairs = [
-            F.struct(F.lit(i).alias("_measure"), F.col(f"_m{i}").alias("_x")) for i in range(len(measures))
-        ]
-        kept = kept.select(*by, F.inline(F.array(*pairs)))
-    return kept.withColumn("_bits", ordered_bits(F.col("_x"))).drop("_x")
+        return kept.withColumn("_measure", F.lit(0)).withColumnRenamed("_m0", "_bits")
+    pairs = [F.struct(F.lit(i).alias("_measure"), F.col(f"_m{i}").alias("_bits")) for i in range(len(measures))]
+    return kept.select(*by, F.inline(F.array(*pairs)))
 
 
 def _digit(cut: int) -> Column:

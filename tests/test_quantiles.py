@@ -46,6 +46,19 @@ def test_several_measures_without_group(spark):
     assert (row["a"], row["b"], row["c"]) == (2.5, 30.0, None)
 
 
+def test_measures_are_made_once_for_all_passes(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def made(i):
+        seen.add(1)
+        return float(i)
+
+    df = spark.range(101).select(made.asNondeterministic()("id").alias("x"))
+    assert medians(df, [], {"x": F.col("x")}).first()["x"] == 50.0
+    assert seen.value == 101
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], "a double")
     assert medians(df, [], {"a": F.col("a")}).first()["a"] is None
