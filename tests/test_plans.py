@@ -98,3 +98,8 @@ def test_listings_set_the_method_limit(spark, sf_dir):
         assert spark.conf.get(name) == "8000"
     finally:
         spark.conf.set(name, before)
+
+
+def test_regressions_share_one_stored_table(spark, sf_dir):
+    text = plan(QUERIES["linear_by_area"](spark, sf_dir))
+    assert "Join" not in text and all(read <= {"row_key", "target", "area_sqm"} for read in read_schemas(text))
