@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from hearthside.llm.common import slices, stored, text_bytes, tokens, word_names
 
 WINDOW, STRIDE = 64, 32
+#: Bytes of text searched at a time: a weighted word takes a latent row, which is some hundred times as much as the word.
+_SLICE = 1 << 20
+#: Sums of weights (block, passage) held at a time.
+_CELLS = 1 << 20
 HITS = "doc_id long, item_id long, first_word long, cosine double, lcs double, answer double"
 
 
@@ -148,7 +152,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, seen = np.zeros(len(vocabulary), np.int64), 0
-        for batch in slices(batches):
+        for batch in slices(batches, size=_SLICE):
             _, rows, _, hit, at = _windows(batch.column(1), vocabulary)
             pairs = np.unique(rows[hit].astype(np.int64) * len(vocabulary) + at)
             count += np.bincount(pairs % max(1, len(vocabulary)), minlength=len(vocabulary))
@@ -208,7 +212,7 @@ def _holding(blocks: np.ndarray, words: np.ndarray, n: int, model: LatentItems,
     pairs = np.unique(blocks * len(model.vocabulary) + words)
     blocks, words = np.divmod(pairs, len(model.vocabulary))
     width, least = len(model.passages), model.whole * present * (1 - 1e-9)
-    step = max(64, (4 << 20) // width)
+    step = max(64, _CELLS // width)
     for a in range(0, n, step):
         i, j = np.searchsorted(blocks, (a, a + step + 2))
         if i == j:
@@ -271,6 +275,19 @@ def search(column, model: LatentItems, cosine: float, share: float, least: float
             yield row, int(p), lo - int(bounds[row]), float(dots[w, p] / max(1e-9, norm[a + w] * size[p])), lcs, common_subsequence(answer, text) / len(answer)
 
 
+def _hits(batches: Iterator[pa.RecordBatch], model: LatentItems, cosine: float, share: float, least: float, present: float, answer: float):
+    for batch in slices(batches, size=_SLICE):
+        hits = [h for h in search(batch.column(1), model, cosine, share, least, present) if h[5] >= answer]
+        ids = batch.column(0)
+        cols = [
+            pa.array([ids[h[0]].as_py() for h in hits], pa.int64()),
+            pa.array([model.passages[h[1]].item_id for h in hits], pa.int64()),
+            pa.array([h[2] for h in hits], pa.int64()),
+            *(pa.array([h[k] for h in hits], pa.float64()) for k in (3, 4, 5)),
+        ]
+        yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in HITS.split(", ")])
+
+
 def find_leaks(
     docs: DataFrame, items: DataFrame, width: int = 128, cosine: float = 0.35, share: float = 0.3, least: float = 0.6,
     answer: float = 0.5, common: float = 0.1, items_per_pass: int = 2000, present: float = 0.6,
@@ -293,17 +310,7 @@ def find_leaks(
         sent = spark.sparkContext.broadcast(latent_items(rows, block, width, common))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = sent.value
-            for batch in slices(batches):
-                hits = [h for h in search(batch.column(1), model, cosine, share, least, present) if h[5] >= answer]
-                ids = batch.column(0)
-                cols = [
-                    pa.array([ids[h[0]].as_py() for h in hits], pa.int64()),
-                    pa.array([model.passages[h[1]].item_id for h in hits], pa.int64()),
-                    pa.array([h[2] for h in hits], pa.int64()),
-                    *(pa.array([h[k] for h in hits], pa.float64()) for k in (3, 4, 5)),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in HITS.split(", ")])
+            yield from _hits(batches, sent.value, cosine, share, least, present, answer)
 
         return stored(rows.mapInArrow(run, HITS), "leaks")
 

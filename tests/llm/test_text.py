@@ -2,12 +2,13 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from hearthside.llm import toxicity
+from hearthside.llm import decontaminate, toxicity
 from hearthside.llm.common import tokens, text_bytes, word_names, words
 from hearthside.llm.decontaminate import common_subsequence, find_leaks, without_leaks
 from hearthside.llm.pseudonyms import pseudonymise
@@ -210,3 +211,27 @@ def test_secrets_in_any_case_and_without_digits(spark):
     got = {r["doc_id"]: r for r in new.collect()}
     assert all(not any(x in got[i]["text"] for x in secrets) and len(got[i]["replaced"]) == 1 for i in range(4))
     assert {r["doc_id"]: r["text"] for r in pseudonymise(new, "k", restore=True).collect()} == dict(enumerate(texts))
+
+
+def test_searched_text_takes_memory_by_the_slice():
+    """A task's arrays stay a few times the batch, although a weighted word takes a latent row of 512 bytes."""
+    rng = np.random.default_rng(4)
+    terms = np.array([f"term{i}" for i in range(600)])
+    names = word_names(*(lambda buf, offsets: (buf, *tokens(buf, offsets)[:2]))(*text_bytes(pa.array([" ".join(terms)]))))
+    vocabulary = np.sort(names)
+    passages = [decontaminate.Passage(i, names[i * 30 : i * 30 + 30], 15) for i in range(20)]
+    held = [np.searchsorted(vocabulary, p.words) for p in passages]
+    holders, at = np.repeat(np.arange(20), 30), np.concatenate(held)
+    order, space = np.argsort(at, kind="stable"), rng.standard_normal((600, 128)).astype(np.float32)
+    vectors, weight = np.stack([space[h].sum(axis=0) for h in held]), np.ones(600)
+    model = decontaminate.LatentItems(
+        passages, vocabulary, space, vectors, (vectors**2).sum(axis=1), weight, np.searchsorted(at[order], np.arange(601)), holders[order], np.full(20, 30.0),
+    )
+    texts = [" ".join(rng.choice(terms, 200)) for _ in range(4000)] + [" ".join(terms[60:90])]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    found = pa.Table.from_batches(decontaminate._hits([batch], model, 0.35, 0.3, 0.6, 0.6, 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (4000, 2) in zip(found["doc_id"].to_pylist(), found["item_id"].to_pylist())
+    assert peak < 200e6, peak  # 463 MB with slices of 8 MB and four times the cells
