@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hearthside.llm import exchange, recompression, suffix_dedup
@@ -161,3 +163,31 @@ def test_the_largest_long_is_an_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.digests(suffix_dedup.remove_repeats(docs, blocks=3)).collect()]
     assert sorted(got, key=str) == sorted([(1, 60, 0), (largest, 60, 60), (largest, 70, 0), (None, 20, 0)], key=str)
+
+
+def test_bytes_taken_by_a_block_and_a_bucket():
+    """Covering a block and sorting a bucket take a bounded number of bytes a byte of text."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, row)) for row in rng.integers(97, 101, (400, 10_000))]
+    docs = pa.table({"id": pa.array(range(400)), "text": pa.array(texts), "missing": pa.array([False] * 400)})
+    n = sum(map(len, texts))
+    block, covered = suffix_dedup.Bytes(*suffix_dedup.text_bytes(docs["text"]), 50), np.zeros(n, bool)
+    covered[5_000:30_000] = covered[39_950:40_000] = True
+
+    def peak(run):
+        tracemalloc.start()
+        out = run()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most / n
+
+    found, taken = peak(lambda: suffix_dedup._result(docs["id"], docs["missing"], block, covered))
+    assert taken < 12, taken
+    assert found["spans"].to_pylist()[:5] == [[{"start": 5000, "length": 5000}], [{"start": 0, "length": 10_000}], [{"start": 0, "length": 10_000}], [{"start": 9950, "length": 50}], []]
+    assert [len(k) for k in found["kept"].to_pylist()[:5]] == [5000, 0, 0, 9950, 10_000]
+    _, taken = peak(lambda: suffix_dedup.refine(np.tile(block.data[: n // 2], 2), 50))
+    assert taken < 60, taken
+    reply = pa.table([pa.array([], pa.int32())] * 2 + [pa.array([], pa.binary())] * 3, names=["block", "kind", "names", "checks", "bits"])
+    docs = docs.append_column("block", pa.array([0] * 400, pa.int32()))
+    _, taken = peak(lambda: suffix_dedup._cover(docs, reply, 50))
+    assert taken < 16, taken
