@@ -103,3 +103,23 @@ def test_listings_set_the_method_limit(spark, sf_dir):
 def test_regressions_share_one_stored_table(spark, sf_dir):
     text = plan(QUERIES["linear_by_area"](spark, sf_dir))
     assert "Join" not in text and all(read <= {"row_key", "target", "area_sqm"} for read in read_schemas(text))
+
+
+def test_products_are_read_once_a_page(spark, sf_dir):
+    """Neither the filter on found products nor the use of two of their fields reads the blocks, or builds the page, again."""
+    made = QUERIES["page_products"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count("""["']application/ld""") == 1 and made.count("broken</script>") == 1
+
+
+def test_first_product_of_each_page(spark):
+    from hearthside.operators import pages
+
+    block = lambda text: f'<script type="application/ld+json">{text}</script>'
+    rows = [
+        (1, block("{broken") + block('{"@type": "Product", "name": "a"}') + block('{"@type": "Product", "name": "b"}')), (2, block('{"@type": "Place"}')),
+        (3, None), (4, ""), (None, block('{"@type": "Product"}')),
+    ]
+    df = spark.createDataFrame(rows, "id long, html string")
+    found = pages.with_product(df, df.html, "ld")
+    assert found.columns == ["id", "html", "ld"]
+    assert sorted(((r["id"], r["ld"]["name"]) for r in found.collect()), key=str) == [(1, "a"), (None, None)]
