@@ -10,6 +10,7 @@ its own rows. Items wait in a window of bounded size, so memory does not grow wi
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from pathlib import Path
 import re
 import zlib
@@ -35,6 +36,19 @@ class Limits:
     window: int = 1024
 
 
+@cache
+def _loaded(path: str):
+    """The tokenizer in the file and its merges alone, once in a process."""
+    import json
+
+    from tokenizers import Tokenizer
+    from tokenizers.models import BPE
+
+    model = json.loads(Path(path).read_text())["model"]
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    return Tokenizer.from_file(path), BPE(model["vocab"], pairs, cache_capacity=0)
+
+
 class WordIds(dict):
     """Ids of pieces of text by piece, each with ``lead`` before it; a piece is encoded when first seen.
 
@@ -45,16 +59,8 @@ class WordIds(dict):
     ROOM = 1_000_000
 
     def __init__(self, path: str, lead: str = ""):
-        import json
-
-        from tokenizers import Tokenizer
-        from tokenizers.models import BPE
-
         self.lead = lead
-        self.tokenizer = Tokenizer.from_file(path)
-        model = json.loads(Path(path).read_text())["model"]
-        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges = BPE(model["vocab"], pairs, cache_capacity=0)
+        self.tokenizer, self.merges = _loaded(path)
         letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
         spelled = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.table = {ord(c): spelled(c)[0][0] for c in [*letters, " "]}
@@ -86,6 +92,11 @@ class TextIds:
     def __init__(self, path: str):
         self.bare, self.spaced = WordIds(path), WordIds(path, " ")
 
+    def clear(self) -> None:
+        """Drop the pieces held. A worker lives on after its task, and other work needs the memory."""
+        self.bare.clear()
+        self.spaced.clear()
+
     def __call__(self, text: str) -> bytes:
         ends = text[:1] + text[-1:]
         if any(x in text for x in self._DOUBLE) or " " in ends or "\n" in ends or not text.replace("\n", "").isprintable():
@@ -205,17 +216,20 @@ def _packed(rows, tokenizer_path, end_id, limits, keep_ids, loss_column):
         known = text_ids(tokenizer_path)
         packer = Packer(limits, TaskContext.get().partitionId() << 32)
         waiting, held = [], 0
-        for batch in batches:
-            marks = batch.column(2).to_pylist() if loss_column else None
-            for k, doc_id in enumerate(batch.column(0).to_pylist()):
-                ids = encoded(batch.column(1)[k].as_py(), known, end_id)
-                waiting.append((doc_id, ids, None if marks is None or marks[k] else np.zeros(len(ids), bool)))
-                held += len(ids)
-                if len(waiting) >= limits.window or held >= 1000 * limits.tokens:
-                    yield emitted(packer, waiting)
-                    waiting, held = [], 0
-        if waiting:
-            yield emitted(packer, waiting)
+        try:
+            for batch in batches:
+                marks = batch.column(2).to_pylist() if loss_column else None
+                for k, doc_id in enumerate(batch.column(0).to_pylist()):
+                    ids = encoded(batch.column(1)[k].as_py(), known, end_id)
+                    waiting.append((doc_id, ids, None if marks is None or marks[k] else np.zeros(len(ids), bool)))
+                    held += len(ids)
+                    if len(waiting) >= limits.window or held >= 1000 * limits.tokens:
+                        yield emitted(packer, waiting)
+                        waiting, held = [], 0
+            if waiting:
+                yield emitted(packer, waiting)
+        finally:
+            known.clear()
 
     def emitted(packer, waiting):
         lengths = np.array([len(x[1]) for x in waiting], np.int64)

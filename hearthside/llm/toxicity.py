@@ -20,6 +20,7 @@ from hearthside.llm.common import MIX, mixed, slices, stored, text_bytes, tokens
 BITS = 26
 STEM = 5  # bytes of a word's beginning
 _SLICES = 16
+_SLICE = 1 << 20  # bytes of text whose words are held at once
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, max_terms: i
     sample = known.where("y = y2").select("doc_id", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=_SLICE):
             rows, hashed = terms(batch.column(1))
             at = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             packed = [hashed[a:b].astype(np.int32).tobytes() for a, b in zip(at[:-1], at[1:])]
@@ -180,7 +181,7 @@ def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
     """Every row and column of ``docs`` with ``toxicity`` (0 to 1). Null and empty texts have the score of no term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, _SLICE):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(machine.score(batch.column(at)))], names=[*batch.schema.names, "toxicity"])
 
     docs = docs.drop("toxicity")

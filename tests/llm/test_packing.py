@@ -24,6 +24,14 @@ def test_ids_are_those_of_the_whole_text(known):
     assert encoded(None, known, 1).tolist() == [1]
 
 
+def test_pieces_are_dropped_and_the_model_is_shared(known):
+    before = encoded("some words here", known, 1).tolist()
+    assert len(known.bare) and len(known.spaced)
+    known.clear()
+    assert not known.bare and not known.spaced and known.bare.merges is known.spaced.merges
+    assert encoded("some words here", known, 1).tolist() == before
+
+
 def test_round_trip(spark, known):
     rows = [(1, None), (2, ""), (3, "some words here. " * 700), (4, "short"), (4, "short"), (None, "no id"), (5, "x")]
     rows += [(100 + i, "word " * (i * 7 % 500)) for i in range(60)]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from hearthside.llm import decontaminate, toxicity
-from hearthside.llm.common import tokens, text_bytes, word_names, words
+from hearthside.llm.common import slices, tokens, text_bytes, word_names, words
 from hearthside.llm.decontaminate import common_subsequence, find_leaks, without_leaks
 from hearthside.llm.pseudonyms import pseudonymise
 
@@ -120,6 +120,20 @@ def test_words_against_python():
     assert list(zip(a, b)) == [(0, 2), (3, 5), (6, 7), (8, 9)]
 
 
+def test_scoring_holds_little_beside_the_text():
+    """Words of a megabyte at a time: the arrays stay far below those of the whole batch."""
+    text = pa.array([" ".join(f"w{i * j % 9973}" for j in range(1500)) for i in range(1, 700)])
+    machine = toxicity.FactorizationMachine(np.arange(0), 0.0, np.zeros(0), np.zeros((0, 1)))
+    size = sum(len(x) for x in text.to_pylist())
+    tracemalloc.start()
+    n = 0
+    for batch in slices([pa.RecordBatch.from_arrays([text], names=["text"])], 0, toxicity._SLICE):
+        n += len(machine.score(batch.column(0)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(text) and size > 4 << 20 and peak < 7 * size
+
+
 def test_toxicity_learns_a_pair(spark):
     """Neither word alone is toxic: only their meeting is."""
     rng = random.Random(1)
