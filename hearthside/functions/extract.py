@@ -21,7 +21,7 @@ _FINISH_WORDS = [
     ["super"], ["fully"], ["semi"], ["finished", "core"], ["lux"],
     ["سوبر"], ["تشطيب", "متشطب"], ["نصف"], ["بدون", "الطوب"], ["لوكس"],
 ]
-_FLOOR_WORDS = [["ground"], ["floor"], ["floor"], ["الدور"], ["الدور"]]
+_FLOOR_WORDS = [["ground"], ["floor"], ["floor"], ["الأرضي", "الارضي"], ["الدور"]]
 _DELIVERY_WORDS = [
     ["ready", "immediate"], ["delivery", "استلام", "تسليم"], ["delivery", "استلام", "تسليم"], ["استلام", "جاهز"],
 ]
@@ -40,31 +40,65 @@ _FLAG_WORDS = {
     "has_security": ["security", "gated", "أمن", "حراسة", "سيكيورتي"],
 }
 
+# Letters with which a match of the rule begins. Java tries every alternative of a pattern at every letter of the text; a
+# class in front of them turns most letters away at once. Rules that begin with one word or a number gain nothing.
+_FIRST = dict(
+    [
+        *zip([p for p, _ in vocab.FINISH_RULES], ["us", "", "", "uc", "", "", "تم", "", "بع", ""], strict=True),
+        *zip([p for p, _ in vocab.DELIVERY_RULES], ["ri", "dات", "", "اج"], strict=True),
+        *zip([p for p, _ in vocab.VIEW_RULES], ["lv", "gv", "pv", "lv", "owp", "sv", "lv", "sv", ""], strict=True),
+        *zip(vocab.DOWN_PAYMENT_RULES, ["dم", "", "d"], strict=True),
+        *zip(vocab.INSTALMENT_YEAR_RULES, ["iت", ""], strict=True),
+    ]
+)
+_FLAG_FIRST = {
+    "has_garden": "gحج", "has_roof": "rرp", "has_elevator": "elأم", "has_parking": "pgجب", "has_pool": "spح",
+    "has_security": "sgأحس",
+}
+
+
+def _led(pattern: str, first: str | None = None) -> str:
+    """A pattern with the same matches that is only tried where one of its first letters stands."""
+    letters = _FIRST.get(pattern, "") if first is None else first
+    return f"(?=[{letters}])(?:{pattern})" if letters else f"(?:{pattern})"
+
 
 def folded(plain: Column) -> Column:
-    """Lower-case text with the letters that match a plain i or s spelled as such."""
-    return F.translate(plain, "ſı\u0307", "si")
+    """Lower-case text with the letters that match a plain i or s spelled as such.
+
+    Few texts hold one of them, and looking for three letters is cheaper than copying a text letter by letter.
+    """
+    odd = "ſı\u0307"
+    return F.when(reduce(or_, [F.contains(plain, F.lit(c)) for c in odd]), F.translate(plain, odd, "si")).otherwise(plain)
 
 
 class Reader:
     """The feature rules over a text column, its lower-case and its :func:`folded` form.
 
-    Pass the latter two as columns of an earlier projection; every rule reads them.
+    Pass the latter two as columns of an earlier projection; every rule reads them. ``wide`` (such a column, too) is false
+    where the text is plain ASCII, so that no Arabic word is looked for.
     """
 
-    def __init__(self, text: Column, plain: Column | None = None, low: Column | None = None):
+    def __init__(self, text: Column, plain: Column | None = None, low: Column | None = None, wide: Column | None = None):
         self.text = text
         self.plain = plain if plain is not None else F.lower(text)
         self.low = low if low is not None else folded(self.plain)
+        self.wide = wide
 
     def _may(self, words: list[str]) -> Column:
-        return reduce(or_, [F.contains(self.low, F.lit(w)) for w in words])
+        held = lambda some: reduce(or_, [F.contains(self.low, F.lit(w)) for w in some])
+        latin = [w for w in words if w.isascii()]
+        other = [w for w in words if not w.isascii()]
+        if self.wide is None or not other:
+            return held(words)
+        return held(latin) | (self.wide & held(other)) if latin else self.wide & held(other)
 
-    def _hits(self, pattern: str, words: list[str]) -> Column:
-        return self._may(words) & self.text.rlike(FOLDED + pattern)
+    def _hits(self, pattern: str, words: list[str], first: str | None = None) -> Column:
+        return self._may(words) & self.text.rlike(FOLDED + _led(pattern, first))
 
     def _captured(self, pattern: str, words: list[str]) -> Column:
-        found = F.regexp_extract_all(self.text, F.lit(FOLDED + pattern), F.lit(1))
+        """The match takes in the rest of the text, so no further ones are looked for."""
+        found = F.regexp_extract_all(self.text, F.lit(FOLDED + _led(pattern) + "(?s:.*)"), F.lit(1))
         return F.when(self._may(words), F.get(found, F.lit(0)))
 
     def _ruled(self, rules: list[tuple], words: list[list[str]]) -> Column:
@@ -108,7 +142,7 @@ class Reader:
 
     def mentions(self, feature: str) -> Column:
         """True or null; absence from the text is never read as false."""
-        return F.when(self._hits("|".join(vocab.FLAG_RULES[feature]), _FLAG_WORDS[feature]), F.lit(True))
+        return F.when(self._hits("|".join(vocab.FLAG_RULES[feature]), _FLAG_WORDS[feature], _FLAG_FIRST[feature]), F.lit(True))
 
     def compound_name(self, names: list[str] = vocab.COMPOUNDS) -> Column:
         """First listed name contained in the text, whatever its case."""
@@ -142,8 +176,9 @@ def extract(df: DataFrame, text: Column | None = None, prefix: str = "found_") -
     if text is None:
         text = title_and_description(F.col("title"), F.col("description"))
     base = df.withColumn("_text", text).withColumn("_plain", F.lower("_text")).withColumn("_low", folded(F.col("_plain")))
-    found = Reader(F.col("_text"), F.col("_plain"), F.col("_low")).features()
-    return base.withColumns({prefix + n: found[n] for n in vocab.EXTRACTED_FEATURES}).drop("_text", "_plain", "_low")
+    base = base.withColumn("_wide", F.octet_length("_low") != F.char_length("_low"))
+    found = Reader(F.col("_text"), F.col("_plain"), F.col("_low"), F.col("_wide")).features()
+    return base.withColumns({prefix + n: found[n] for n in vocab.EXTRACTED_FEATURES}).drop("_text", "_plain", "_low", "_wide")
 
 
 def enrich(df: DataFrame, text: Column | None = None) -> DataFrame:
