@@ -1,7 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from hearthside import schemas, vocab
+from hearthside import schemas, session, vocab
 from hearthside.session import build_session, ensure_checkpoint_dir, release, settle
 from hearthside.sources import readers, writers
 
@@ -125,3 +127,21 @@ def test_enriched_files_stay_small_however_many_features_are_null(spark, tmp_pat
     schema = writers.with_all_features(df).schema
     back = [readers.read_records_strict(spark, str(tmp_path / "j"), schema), readers.read_csv(spark, str(tmp_path / "c"), schema)]
     assert [b.where("finish_type = 'lux' AND has_pool IS NULL").select("url").distinct().count() for b in back] == [2000, 2000]
+
+
+def test_shuffle_files_go_with_the_write_of_a_large_table(spark, tmp_path, monkeypatch):
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle")}
+
+    monkeypatch.setattr(session, "_LARGE", 0)
+    old = shuffled()
+    spark.range(1000).groupBy(F.col("id") % 7).count().write.parquet(str(tmp_path / "t"))
+    new = shuffled() - old
+    assert new
+    session.cut_lineage(spark.range(10))
+    for _ in range(40):
+        if not new & shuffled():
+            break
+        time.sleep(0.5)
+    assert not new & shuffled()
